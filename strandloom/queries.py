@@ -1,0 +1,36 @@
+"""Registered reference-parity queries: name -> callable(spark, sf_dir), and name -> DuckDB SQL."""
+
+from __future__ import annotations
+
+from strandloom.operators import intervals as iv
+from strandloom.sources.tables import intervals_from_lineitem
+
+QUERIES = {}
+ORACLES = {}
+
+
+def query(name, sql=None):
+    def put(f):
+        QUERIES[name] = f
+        if sql is not None:
+            ORACLES[name] = sql
+        return f
+
+    return put
+
+
+_IV = """
+iv AS (SELECT {contig} AS contig, l_orderkey * 10 + l_linenumber AS id,
+  CAST(date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) AS INT) AS lend,
+  CAST(date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) + CAST(floor(l_quantity) AS INT) AS INT) AS rend,
+  CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand, l_extendedprice AS score FROM lineitem)"""
+
+_PILE = """
+, marked AS (SELECT *, CASE WHEN lend <= max(rend) OVER (PARTITION BY contig ORDER BY lend, rend, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM iv)
+, piled AS (SELECT *, CAST(sum(fresh) OVER (PARTITION BY contig ORDER BY lend, rend, id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS pile FROM marked)"""
+
+
+@query("pile_spans", "WITH " + _IV.format(contig="l_suppkey") + _PILE + """
+SELECT contig, pile, min(lend) AS lend, max(rend) AS rend, count(*) AS members FROM piled GROUP BY contig, pile""")
+def pile_spans(spark, d):
+    return iv.pile_spans(intervals_from_lineitem(spark, d, "l_suppkey"))
