@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandloom.llm.packing import pack, token_pieces
+from strandloom.llm.simhash import near_groups
 from strandloom.llm.token_counts import token_counts
 
 QUERIES = {}
@@ -38,3 +39,9 @@ def op1_packing(spark, d):
 def op7_token_counts(spark, d):
     counts = token_counts(table(spark, d, "documents"), vocabulary("word_bpe_49k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+@query
+def op2_simhash(spark, d):
+    groups = near_groups(table(spark, d, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
