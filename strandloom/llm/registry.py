@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandloom.llm.packing import pack, token_pieces
+from strandloom.llm.pieces import encode
 from strandloom.llm.simhash import near_groups
 from strandloom.llm.token_counts import token_counts
 
@@ -45,3 +46,14 @@ def op7_token_counts(spark, d):
 def op2_simhash(spark, d):
     groups = near_groups(table(spark, d, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op6_pieces(spark, d):
+    coded = encode(table(spark, d, "documents"), vocabulary("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
