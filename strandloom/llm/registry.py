@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strandloom.llm.packing import pack, token_pieces
 from strandloom.llm.pieces import encode
+from strandloom.llm.quality import fit, is_held_out, predict
 from strandloom.llm.simhash import near_groups
 from strandloom.llm.token_counts import token_counts
 
@@ -57,3 +58,10 @@ def op6_pieces(spark, d):
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op8_quality(spark, d):
+    docs = table(spark, d, "documents")
+    model = fit(docs, table(spark, d, "labels"), "quality", learn=~is_held_out())
+    return predict(docs, model).select("doc_id", is_held_out().alias("held_out"), "score", "predicted")
