@@ -9,6 +9,7 @@ from strandloom.llm.pieces import encode
 from strandloom.llm.quality import fit, is_held_out, predict
 from strandloom.llm.simhash import near_groups
 from strandloom.llm.token_counts import token_counts
+from strandloom.llm.topk import topk
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +66,17 @@ def op8_quality(spark, d):
     docs = table(spark, d, "documents")
     model = fit(docs, table(spark, d, "labels"), "quality", learn=~is_held_out())
     return predict(docs, model).select("doc_id", is_held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op5_topk(spark, d):
+    return topk(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+ORACLES["op5_topk"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
