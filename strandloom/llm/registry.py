@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strandloom.llm.lines import line_dedup
 from strandloom.llm.packing import pack, token_pieces
 from strandloom.llm.pieces import encode
 from strandloom.llm.quality import fit, is_held_out, predict
@@ -80,3 +81,28 @@ pairs AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(li
   FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
+@query
+def op3_line_dedup(spark, d):
+    out = line_dedup(table(spark, d, "documents"))
+    return out.select("doc_id", "text", F.col("__lines").cast("long").alias("n_lines"), F.col("__removed").cast("long").alias("n_removed"))
+
+
+ORACLES["op3_line_dedup"] = """
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+raw AS (SELECT doc_id, unnest(parts) AS piece, generate_subscripts(parts, 1) AS i FROM split),
+occ AS (SELECT doc_id, i, trim(piece) AS line FROM raw WHERE length(trim(piece)) >= 20),
+ranked AS (SELECT *, row_number() OVER (ORDER BY doc_id, i) AS pos FROM occ),
+firsts AS (SELECT line, min(pos) AS pos FROM ranked GROUP BY line),
+variants AS (SELECT pos, place, hash(left(line, place - 1) || substr(line, place + 1)) AS rest
+  FROM (SELECT pos, line, unnest(range(1, length(line) + 1)) AS place FROM firsts)),
+swapped AS (SELECT pos, min(pos) OVER (PARTITION BY place, rest) AS other FROM variants),
+grown AS (SELECT v.pos AS pos, w.pos AS other FROM variants v JOIN firsts w ON v.rest = hash(w.line)),
+near AS (SELECT DISTINCT greatest(pos, other) AS pos FROM (FROM swapped UNION ALL FROM grown) WHERE pos <> other),
+gone AS (SELECT r.doc_id, r.i FROM ranked r JOIN firsts f ON r.line = f.line WHERE r.pos <> f.pos OR f.pos IN (SELECT pos FROM near)),
+kept AS (SELECT r.doc_id, string_agg(r.piece, chr(10) ORDER BY r.i) AS text FROM raw r ANTI JOIN gone g ON r.doc_id = g.doc_id AND r.i = g.i GROUP BY r.doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN l.n IS NULL THEN d.text ELSE coalesce(k.text, '') END AS text, CAST(len(s.parts) AS BIGINT) AS n_lines,
+  CAST(coalesce(l.n, 0) AS BIGINT) AS n_removed
+FROM documents d JOIN split s USING (doc_id) LEFT JOIN kept k USING (doc_id) LEFT JOIN lost l USING (doc_id)"""
