@@ -25,14 +25,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandloom.llm.rows import marked
 from strandloom.plans.lineage import stored
 
 
-def _rows(docs: DataFrame, id_col: str) -> DataFrame:
-    """docs with __k, a join key for its id, and __th, which tells rows of one id apart."""
-    return docs.withColumns({"__k": F.xxhash64(id_col), "__th": F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])})
-
-
 def _lines(text: str) -> Column:
     return F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
 
@@ -93,7 +89,7 @@ def _near_earlier(first: DataFrame, rows: DataFrame, text_col: str) -> DataFrame
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20) -> DataFrame:
     """docs with the lines removed from text_col, and __lines, __removed: how many lines the text had and lost."""
-    rows = _rows(docs, id_col)
+    rows = marked(docs, id_col)
     occurrences = _occurrences(rows, id_col, text_col, min_chars, *_digest(), F.array(*_half_keys()).alias("keys"))
     pos = F.struct(F.col("__id").alias("id"), F.col("__th").alias("th"), F.col("i"), F.col("__k").alias("k"))
     first = stored(occurrences.select("h1", "h2", "keys", pos.alias("pos")).groupBy("h1", "h2").agg(F.min("pos").alias("pos"), F.first("keys").alias("keys"), F.count("*").alias("n")))

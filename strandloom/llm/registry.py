@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strandloom.llm.chunks import substring_dedup
 from strandloom.llm.lines import line_dedup
 from strandloom.llm.packing import pack, token_pieces
 from strandloom.llm.pieces import encode
@@ -106,3 +107,9 @@ lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT d.doc_id, CASE WHEN l.n IS NULL THEN d.text ELSE coalesce(k.text, '') END AS text, CAST(len(s.parts) AS BIGINT) AS n_lines,
   CAST(coalesce(l.n, 0) AS BIGINT) AS n_removed
 FROM documents d JOIN split s USING (doc_id) LEFT JOIN kept k USING (doc_id) LEFT JOIN lost l USING (doc_id)"""
+
+
+@query
+def op10_substring_dedup(spark, d):
+    out = substring_dedup(table(spark, d, "documents"))
+    return out.select("doc_id", "text", F.col("__bytes").alias("n_bytes"), F.col("__removed").alias("n_removed"))
