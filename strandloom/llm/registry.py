@@ -12,6 +12,7 @@ from strandloom.llm.quality import fit, is_held_out, predict
 from strandloom.llm.simhash import near_groups
 from strandloom.llm.token_counts import token_counts
 from strandloom.llm.topk import topk
+from strandloom.llm.vectors import near_vectors
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +114,8 @@ FROM documents d JOIN split s USING (doc_id) LEFT JOIN kept k USING (doc_id) LEF
 def op10_substring_dedup(spark, d):
     out = substring_dedup(table(spark, d, "documents"))
     return out.select("doc_id", "text", F.col("__bytes").alias("n_bytes"), F.col("__removed").alias("n_removed"))
+
+
+@query
+def op4_near_vectors(spark, d):
+    return near_vectors(table(spark, d, "embeddings"))
