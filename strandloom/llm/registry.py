@@ -10,6 +10,7 @@ from strandloom.llm.packing import pack, token_pieces
 from strandloom.llm.pieces import encode
 from strandloom.llm.quality import fit, is_held_out, predict
 from strandloom.llm.simhash import near_groups
+from strandloom.llm.suffixes import repeated_spans
 from strandloom.llm.token_counts import token_counts
 from strandloom.llm.topk import topk
 from strandloom.llm.vectors import near_vectors
@@ -119,3 +120,16 @@ def op10_substring_dedup(spark, d):
 @query
 def op4_near_vectors(spark, d):
     return near_vectors(table(spark, d, "embeddings"))
+
+
+@query
+def op9_repeated_spans(spark, d):
+    out = repeated_spans(table(spark, d, "documents"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return out.select(
+        "doc_id",
+        size.alias("n_bytes"),
+        (size - F.octet_length("__kept")).alias("n_removed"),
+        F.size("__spans").cast("long").alias("n_spans"),
+        F.sha2("__kept", 256).alias("kept_sha256"),
+    )
