@@ -51,7 +51,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     kept = near_groups(docs).where("doc_id = component_id").select("doc_id").distinct()
     named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
-    once = marked(named, "doc_id").dropDuplicates(["__k", "__th"]).drop("__k", "__th")
+    once = marked(named, "doc_id").dropDuplicates(["doc_id", "__th"]).drop("__k", "__th")
     return once.unionByName(docs.where(F.col("doc_id").isNull())).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
