@@ -24,3 +24,38 @@ def intervals_from_lineitem(spark: SparkSession, d: str, contig: str) -> DataFra
         F.when(F.col("l_linestatus") == "O", "+").otherwise("-").alias("strand"),
         F.col("l_extendedprice").alias("score"),
     )
+
+
+def structures(spark: SparkSession, d: str) -> DataFrame:
+    """Segments (contig, acc, strand, lend, rend): an order's lines on its customer, merged to disjoint segments."""
+    from strandloom.operators.intervals import pile_spans
+
+    lines, orders = table(spark, d, "lineitem"), table(spark, d, "orders")
+    raw = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("contig"),
+        F.col("l_orderkey").alias("acc"),
+        F.when(F.col("o_orderkey") % 2 == 0, "+").otherwise("-").alias("strand"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+        day("l_shipdate").alias("lend"),
+        (day("l_shipdate") + F.floor(F.col("l_quantity") / 5).cast("int")).alias("rend"),
+    )
+    return pile_spans(raw, ("contig", "acc", "strand")).drop("pile", "members")
+
+
+def genes(spark: SparkSession, d: str) -> DataFrame:
+    """Reference intervals (contig, id, lend, rend, strand): an order on its customer, from its date over up to 60 days."""
+    o = table(spark, d, "orders")
+    return o.select(
+        F.col("o_custkey").alias("contig"),
+        F.col("o_orderkey").alias("id"),
+        day("o_orderdate").alias("lend"),
+        (day("o_orderdate") + 10 + (F.col("o_orderkey") % 50).cast("int")).alias("rend"),
+        F.when(F.col("o_orderkey") % 2 == 0, "+").otherwise("-").alias("strand"),
+    )
+
+
+def transcripts(spark: SparkSession, d: str) -> DataFrame:
+    """Intervals on customers: (contig, id, lend, rend, strand, score) of every line, by its order's customer."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    iv = intervals_from_lineitem(spark, d, "l_orderkey")
+    return iv.join(orders, iv["contig"] == orders["o_orderkey"]).select(F.col("o_custkey").alias("contig"), "id", "lend", "rend", "strand", "score")
