@@ -1 +1,134 @@
+"""Annotation comparison, poly-A, transcriptome and snapshot queries."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strandloom.functions import seq
+from strandloom.operators import annotate as an
+from strandloom.queries.registry import query
+from strandloom.sources.tables import day, genes, table
+
+GENES = """g AS (SELECT o_custkey AS contig, o_orderkey AS id, CAST(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS INT) AS lend,
+  CAST(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) + 10 + o_orderkey % 50 AS INT) AS rend, CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand FROM orders)"""
+MODELS = """d AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity, l_linestatus FROM lineitem),
+m AS (SELECT o_custkey AS contig, (l_orderkey * 10 + l_linenumber) * 100000 + l_partkey AS id, CAST(date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) AS INT) AS lend,
+  CAST(date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) + 2 * floor(l_quantity) AS INT) AS rend, CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand, l_quantity > 40 AS is_full,
+  l_suppkey % 3 AS "group" FROM d JOIN orders ON l_orderkey = o_orderkey)"""
+SHARED = "(least(a.rend, b.rend) - greatest(a.lend, b.lend) + 1)"
+MEET = "a.contig = b.contig AND a.lend <= b.rend AND a.rend >= b.lend"
+HITS = f"""h AS (SELECT a.contig, a.id, a.is_full, a.strand, b.strand AS b_strand, a.lend, a.rend, b.id AS gene, b.lend AS bl, b.rend AS br, CAST(100 AS DOUBLE) * {SHARED} / (a.rend - a.lend + 1) AS of_model,
+  CAST(100 AS DOUBLE) * {SHARED} / (b.rend - b.lend + 1) AS of_gene FROM m a JOIN g b ON {MEET})"""
+
+
+def models(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_linestatus").distinct()
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("contig"),
+        ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100000 + F.col("l_partkey")).alias("id"),
+        day("l_shipdate").alias("lend"),
+        (day("l_shipdate") + 2 * F.floor("l_quantity").cast("int")).alias("rend"),
+        F.when(F.col("l_linestatus") == "O", "+").otherwise("-").alias("strand"),
+        (F.col("l_quantity") > 40).alias("is_full"),
+        (F.col("l_suppkey") % 3).alias("group"),
+    )
+
+
+_STATUS = """CASE WHEN lend = bl AND rend = br THEN 3 WHEN lend >= bl AND rend <= br THEN 12 WHEN lend <= bl AND rend >= br THEN 4 WHEN lend < bl OR rend > br THEN 13 ELSE 8 END"""
+
+
+def _cascade(least):
+    return f"""s AS (SELECT contig, id, count(*) AS n, min(gene) AS gene, min({_STATUS}) AS one FROM h WHERE strand = b_strand AND greatest(of_model, of_gene) >= {least} GROUP BY contig, id),
+x AS (SELECT contig, id, min(gene) AS anti FROM h WHERE strand <> b_strand AND greatest(of_model, of_gene) >= {least} GROUP BY contig, id),
+c AS (SELECT k.contig, k.id, CAST(CASE WHEN s.n = 1 THEN one WHEN s.n > 1 THEN 5 WHEN x.anti IS NOT NULL THEN 42 ELSE 10 END AS INT) AS status, coalesce(s.gene, x.anti) AS gene
+  FROM (SELECT DISTINCT contig, id FROM m) k LEFT JOIN s USING (contig, id) LEFT JOIN x USING (contig, id))"""
+
+
+@query(f"WITH {MODELS}, {GENES}, {HITS}, {_cascade(50)} SELECT * FROM c")
+def status_cascade(spark, d):
+    return an.statuses(models(spark, d), genes(spark, d))
+
+
+@query(f"WITH {MODELS}, {GENES}, {HITS}, {_cascade(50)}, {_cascade(90).replace('s AS (', 's2 AS (', 1).replace('x AS (', 'x2 AS (', 1).replace('c AS (', 'c2 AS (', 1).replace('s.', 's2.').replace('x.', 'x2.').replace('JOIN s USING', 'JOIN s2 USING').replace('JOIN x USING', 'JOIN x2 USING')} "
+       "SELECT coalesce(c.status, 0) AS before, coalesce(c2.status, 0) AS after, count(*) AS n FROM c FULL OUTER JOIN c2 ON c.contig = c2.contig AND c.id = c2.id GROUP BY 1, 2")
+def status_changes(spark, d):
+    m, g = models(spark, d), genes(spark, d)
+    return an.status_changes(an.statuses(m, g, 50), an.statuses(m, g, 90))
+
+
+@query(f"""WITH {MODELS}, {GENES}, {HITS}, n AS (SELECT contig, id, is_full, count(*) AS n, min(of_gene) AS least, string_agg(DISTINCT CAST(gene AS VARCHAR), ',' ORDER BY CAST(gene AS VARCHAR)) AS genes FROM h WHERE strand = b_strand GROUP BY ALL HAVING count(*) > 1)
+SELECT contig, id, CAST(CASE WHEN least >= 80 THEN CASE WHEN is_full THEN 29 ELSE 36 END ELSE CASE WHEN is_full THEN 30 ELSE 35 END END AS INT) AS status, len(string_split(genes, ',')) AS n_genes FROM n""")
+def gene_merging(spark, d):
+    return an.merges(models(spark, d), genes(spark, d)).select("contig", "id", "status", F.size(F.split("genes", ",")).cast("long").alias("n_genes"))
+
+
+@query(f"""WITH {MODELS}, {GENES}, w AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY contig, strand, "group" ORDER BY rend - lend DESC, id) = 1),
+j AS (SELECT b.contig, b.id AS gene, count(*) AS groups, CAST(100 AS DOUBLE) * (least(max(a.rend), max(b.rend)) - greatest(min(a.lend), min(b.lend)) + 1) / (max(b.rend) - min(b.lend) + 1) AS joint FROM w a JOIN g b ON {MEET} AND a.strand = b.strand GROUP BY b.contig, b.id HAVING count(*) > 1)
+SELECT contig, gene, CAST(CASE WHEN joint >= 80 THEN 40 ELSE 39 END AS INT) AS status, groups FROM j""")
+def gene_splitting(spark, d):
+    return an.splits(models(spark, d), genes(spark, d))
+
+
+@query(f"""WITH {MODELS}, {GENES}, {HITS}, e AS (SELECT *, lend < bl AS l, rend > br AS r FROM h WHERE strand = b_strand),
+t AS (SELECT *, CASE WHEN l AND r THEN 'both' WHEN CASE strand WHEN '-' THEN r ELSE l END THEN '5prime' WHEN CASE strand WHEN '-' THEN l ELSE r END THEN '3prime' ELSE 'none' END AS extension FROM e)
+SELECT contig, extension, count(*) AS n FROM t GROUP BY contig, extension""")
+def utr_extension(spark, d):
+    c = F.col
+    met = an.hits(models(spark, d), genes(spark, d))
+    return met.groupBy("contig", an.extension(c("lend"), c("rend"), c("b_lend"), c("b_rend"), c("strand")).alias("extension")).agg(F.count("*").alias("n"))
+
+
+@query("""WITH t AS (SELECT doc_id, regexp_replace(upper(coalesce(text, '')), '[^ACGT]', '', 'g') AS q, CASE WHEN doc_id % 2 = 0 THEN '+' ELSE '-' END AS strand FROM documents),
+s AS (SELECT doc_id, strand, q, substr(q, 5, 2) AS l, substr(q, length(q) - 5, 2) AS r FROM t WHERE length(q) >= 20)
+SELECT doc_id, strand, l, r, CASE strand WHEN '-' THEN (l, r) IN (('CT', 'AC'), ('CT', 'GC'), ('GT', 'AT')) ELSE (l, r) IN (('GT', 'AG'), ('GC', 'AG'), ('AT', 'AC')) END AS ok FROM s""")
+def consensus_sites(spark, d):
+    t = table(spark, d, "documents").select("doc_id", seq.bases_of(F.col("text")).alias("q"), F.when(F.col("doc_id") % 2 == 0, "+").otherwise("-").alias("strand")).where("length(q) >= 20")
+    s = t.select("doc_id", "strand", F.substring("q", 5, 2).alias("l"), F.substring(F.col("q"), F.length("q") - 5, F.lit(2)).alias("r"))
+    return s.withColumn("ok", an.consensus_sites(F.col("l"), F.col("r"), F.col("strand")))
+
+
+@query("""WITH a AS (SELECT l_orderkey AS acc, avg(l_discount) AS dis, sum(l_quantity) AS q, max(l_quantity) AS hi, min(l_quantity) AS lo, bool_and(l_returnflag <> 'R') AS ok FROM lineitem GROUP BY l_orderkey)
+SELECT acc, list_aggregate(list_filter([CASE WHEN NOT ok THEN 'splice sites' END, CASE WHEN hi > 48 THEN 'intron too long' END, CASE WHEN lo < 3 THEN 'intron too short' END, CASE WHEN q < 60 THEN 'too little aligned' END,
+CASE WHEN round(100 - 100 * dis, 6) < 95 THEN 'too little identity' END], lambda x: x IS NOT NULL), 'string_agg', '; ') AS errors FROM a""")
+def validity_cascade(spark, d):
+    q = F.col("l_quantity")
+    a = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("acc")).agg(
+        F.round(100 - 100 * F.avg("l_discount"), 6).alias("identity"), F.sum(q).alias("q"), F.max(q).alias("hi"), F.min(q).alias("lo"), F.bool_and(F.col("l_returnflag") != "R").alias("ok"))
+    errors = an.validity(F.lit(0), F.col("identity"), F.col("q"), F.col("hi"), F.col("lo"), F.col("ok"), 60, 95, 3, 48)
+    return a.select("acc", F.when(F.size(errors) > 0, F.array_join(errors, "; ")).alias("errors"))
+
+
+@query("""WITH r AS (SELECT l_suppkey AS contig, l_orderkey AS acc, CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand, CAST(date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) AS INT) AS lend,
+  CAST(date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) + floor(l_quantity) AS INT) AS rend, l_linenumber % 3 AS tl, l_linenumber % 2 AS tr, l_partkey % 4 AS off, 60 + l_quantity AS pc FROM lineitem),
+s AS (SELECT *, (tr > 0) = (strand = '+') AS ar FROM r WHERE (tl > 0) <> (tr > 0) AND off <= 2 AND pc >= 80)
+SELECT contig, CASE WHEN ar THEN rend ELSE lend END AS site, CASE WHEN ar THEN '+' ELSE '-' END AS strand, string_agg(DISTINCT CAST(acc AS VARCHAR), ',' ORDER BY CAST(acc AS VARCHAR)) AS transcripts FROM s GROUP BY 1, 2, 3""")
+def poly_a_sites(spark, d):
+    c = F.col
+    r = table(spark, d, "lineitem").select(
+        c("l_suppkey").alias("contig"), c("l_orderkey").alias("acc"), F.when(c("l_linestatus") == "O", "+").otherwise("-").alias("strand"), day("l_shipdate").alias("lend"),
+        (day("l_shipdate") + F.floor("l_quantity").cast("int")).alias("rend"), (c("l_linenumber") % 3).alias("trimmed_left"), (c("l_linenumber") % 2).alias("trimmed_right"),
+        (c("l_partkey") % 4).alias("offset"), (60 + c("l_quantity")).alias("tail_percent"))
+    return an.poly_a_sites(r)
+
+
+@query("""WITH s AS (SELECT DISTINCT l_orderkey AS acc FROM lineitem WHERE l_quantity > 45), a AS (SELECT DISTINCT l_orderkey AS acc FROM lineitem), m AS (SELECT DISTINCT l_orderkey AS acc FROM lineitem WHERE l_returnflag = 'R')
+SELECT o_orderkey AS acc, CASE WHEN o_orderkey IN (SELECT acc FROM s) THEN 'assembled' WHEN o_orderkey IN (SELECT acc FROM a) AND o_orderkey IN (SELECT acc FROM m) THEN 'poor_alignment_mapped'
+WHEN o_orderkey IN (SELECT acc FROM a) THEN 'poor_alignment_unmapped' ELSE 'no_alignment' END AS class FROM orders""")
+def transcriptome_classes(spark, d):
+    li = table(spark, d, "lineitem").withColumn("acc", F.col("l_orderkey"))
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("acc"))
+    return an.transcriptome_classes(o, li.where("l_quantity > 45"), li, li.where("l_returnflag = 'R'"))
+
+
+@query("""WITH r AS (SELECT l_orderkey AS k, max(l_extendedprice) AS score FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey) SELECT o_orderkey, coalesce(r.score, o_totalprice) AS score, r.k IS NOT NULL AS updated FROM orders LEFT JOIN r ON k = o_orderkey""")
+def update_by_key(spark, d):
+    r = table(spark, d, "lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_extendedprice").alias("s"))
+    joined = table(spark, d, "orders").join(r, "o_orderkey", "left")
+    return joined.select("o_orderkey", F.coalesce("s", "o_totalprice").alias("score"), F.col("s").isNotNull().alias("updated"))
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0)")
+def conditional_delete(spark, d):
+    gone = table(spark, d, "supplier").where("s_acctbal < 0").select(F.col("s_suppkey").alias("l_suppkey"))
+    return table(spark, d, "lineitem").join(gone, "l_suppkey", "left_anti").select("l_orderkey", "l_linenumber")
