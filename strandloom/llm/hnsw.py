@@ -69,7 +69,7 @@ def beam_search(x: np.ndarray, graph: np.ndarray, q: np.ndarray, entry: np.ndarr
 
 
 def diverse(x: np.ndarray, ids: np.ndarray, sim: np.ndarray, most: int) -> np.ndarray:
-    """At most `most` of each row's candidates, best first, those first that are nearer to the node than to any one chosen before."""
+    """(rows, most) ids, -1 where there are fewer: of each row's candidates, best first, those first that are nearer to the node than to any one chosen before."""
     order = np.argsort(-sim, axis=1, kind="stable")
     ids, sim = np.take_along_axis(ids, order, 1), np.take_along_axis(sim, order, 1)
     ok = np.isfinite(sim) & (ids >= 0)
@@ -81,7 +81,9 @@ def diverse(x: np.ndarray, ids: np.ndarray, sim: np.ndarray, most: int) -> np.nd
         chosen[:, c] = ok[:, c] & (nearest < sim[:, c]) & (chosen[:, :c].sum(1) < most)
     rank = np.where(chosen, 0, np.where(ok, 1, 2)) * ids.shape[1] + np.arange(ids.shape[1])
     best = np.argsort(rank, axis=1, kind="stable")[:, :most]
-    return np.where(np.take_along_axis(ok, best, 1), np.take_along_axis(ids, best, 1), -1)
+    out = np.full((len(ids), most), -1, np.int64)
+    out[:, : best.shape[1]] = np.where(np.take_along_axis(ok, best, 1), np.take_along_axis(ids, best, 1), -1)
+    return out
 
 
 class Hnsw:
