@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_STORED: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session; a temporary one only where none is configured (tests)."""
     sc = spark.sparkContext
@@ -27,5 +30,16 @@ def cut(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     """df written as compressed Parquet in the shared folder and read again: columns prune, sizes are known to AQE."""
     at = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    _STORED.append(at)
     df.write.parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes what stored() has written in this process; call it when no result is read any more. Returns how many."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _STORED:
+        path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
