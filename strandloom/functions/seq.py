@@ -48,17 +48,16 @@ def bases_of(text: Column) -> Column:
 def translate(s: Column, frame: int = 1, code: str = "universal") -> Column:
     """Amino acids of frame 1-3, or 4-6 on the other strand; a codon with another letter is X; a rest of one or two bases is left out."""
     strand = F.upper(s) if frame <= 3 else reverse_complement(F.upper(s))
-    skip = (frame - 1) % 3
-    n = F.floor((F.length(strand) - skip) / 3).cast("int")
+    # one pass cuts the codons, so that the strand isn't worked out again for each of them
+    codons = F.regexp_extract_all(F.substring(strand, F.lit((frame - 1) % 3 + 1), F.length(s)), F.lit(r"[\s\S]{3}"), F.lit(0))
     table = amino_acids(code)
 
-    def one(i: Column) -> Column:
-        codon = F.substring(strand, 3 * i + skip + 1, F.lit(3))
+    def one(codon: Column) -> Column:
         at = [F.instr(F.lit(ORDER), F.substring(codon, F.lit(k), F.lit(1))) - 1 for k in (1, 2, 3)]
         known = (at[0] >= 0) & (at[1] >= 0) & (at[2] >= 0)
         return F.when(known, F.substring(F.lit(table), 16 * at[0] + 4 * at[1] + at[2] + 1, F.lit(1))).otherwise("X")
 
-    return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), one), "")).otherwise("")
+    return F.array_join(F.transform(codons, one), "")
 
 
 def percent_of(s: Column, letters: str) -> Column:
