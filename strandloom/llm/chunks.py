@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from strandloom.llm.rows import marked
 
 #: Least and largest chunk in bytes (before a boundary moves to a character's start), and the zero bits that end one.
-LEAST, MOST, BITS = 40, 256, 5
+LEAST, MOST, BITS = 24, 160, 5
 #: Bytes that a run of repeated chunks needs in order to go.
-MIN_RUN = 96
+MIN_RUN = 80
 BLOCK = 1 << 20
 
 
