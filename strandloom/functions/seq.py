@@ -197,3 +197,23 @@ def protein_identity(a: str, b: str) -> float:
             row.append(best)
         above = row
     return 100 * above[-1][1] / max(len(a), len(b))
+
+
+def frame_scores(rows: DataFrame, ratios: DataFrame, id_col: str, seq: str, k: int) -> DataFrame:
+    """(id_col, frame, score) for the frames 1-3 of the given strand: the sum of the log ratios of the k-mers, each at its place
+    modulo 3 in that frame; k-mers without a ratio count nothing."""
+    each = rows.select(id_col, F.posexplode(kmers(F.col(seq), k)).alias("at", "kmer"))
+    shifted = each.select(id_col, "kmer", "at", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("shift")).where("at >= shift")
+    placed = shifted.select(id_col, "kmer", (F.col("shift") + 1).alias("f"), ((F.col("at") - F.col("shift")) % 3).alias("frame"))
+    # occurrences are counted before the ratios come in
+    counted = placed.groupBy(id_col, "f", "frame", "kmer").agg(F.count("*").alias("n"))
+    scored = counted.join(ratios, ["frame", "kmer"]).groupBy(id_col, F.col("f").alias("frame")).agg(F.sum(F.col("n") * F.col("ratio")).alias("score"))
+    return scored
+
+
+def polycistronic(s: Column, least: int, most_overlap: float = 10.0) -> Column:
+    """Whether the two longest open frames are both of `least` bases and share at most `most_overlap` percent of the shorter."""
+    found = orfs(s, least)
+    a, b = F.get(found, F.lit(0)), F.get(found, F.lit(1))
+    shared = F.greatest(F.lit(0), F.least(a["rend"], b["rend"]) - F.greatest(a["lend"], b["lend"]) + 1)
+    return F.coalesce((F.size(found) > 1) & (100 * shared <= most_overlap * (b["rend"] - b["lend"] + 1)), F.lit(False))

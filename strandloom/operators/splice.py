@@ -126,3 +126,32 @@ def frame_overlap(segments: DataFrame) -> DataFrame:
     return met.groupBy(*KEY, "acc", F.col("b_acc").alias("other")).agg(
         F.sum(F.when(F.col("f") == F.col("b_f"), shared).otherwise(0)).cast("long").alias("same"),
         F.sum(F.when(F.col("f") != F.col("b_f"), shared).otherwise(0)).cast("long").alias("different"))
+
+
+def alternate_internal_exons(segments: DataFrame) -> DataFrame:
+    """(contig, strand, acc, other, lend, rend, other_lend, other_rend) with acc < other: an inner exon of each inside an intron
+    of the other, disjoint, and with neighbours that meet on both sides."""
+    w = Window.partitionBy("contig", "acc", "strand").orderBy("lend")
+    e = segments.select(*KEY, "acc", "lend", "rend", *[f(c).over(w).alias(n) for f, c, n in ((F.lag, "lend", "pl"), (F.lag, "rend", "pr"), (F.lead, "lend", "nl"), (F.lead, "rend", "nr"))])
+    inner = e.where("pl IS NOT NULL AND nl IS NOT NULL")
+    # from the end of the exon before to the start of the next: two such stretches overlap where both exons are alternatives
+    reach = inner.select(*KEY, "acc", F.col("pr").alias("lend"), F.col("nl").alias("rend"), F.col("lend").alias("x"), F.col("rend").alias("y"), "pl", "nr")
+    met = meeting(reach, reach).where("acc < b_acc AND (y < b_x OR x > b_y)")
+    # each exon lies in the other's intron on that side, and the flanks meet
+    inside = "CASE WHEN y < b_x THEN x > b_lend AND b_y < rend ELSE b_x > lend AND y < b_rend END"
+    flanks = "pl <= b_lend AND lend >= b_pl AND rend <= b_nr AND nr >= b_rend"
+    return met.where(f"{inside} AND {flanks}").select(*KEY, "acc", F.col("b_acc").alias("other"), F.col("x").alias("lend"), F.col("y").alias("rend"), F.col("b_x").alias("other_lend"), F.col("b_y").alias("other_rend"))
+
+
+def boundary_events(variations: DataFrame) -> DataFrame:
+    """(contig, strand, type, first_site, second_site, pairs, structures): alternate boundaries gathered into events by their two sites."""
+    both = F.array("acc", "other")
+    rows = variations.select(*KEY, "type", F.least("site", "other_site").alias("first_site"), F.greatest("site", "other_site").alias("second_site"), F.explode(both).alias("a"))
+    return rows.groupBy(*KEY, "type", "first_site", "second_site").agg((F.count("*") / 2).cast("long").alias("pairs"), F.countDistinct("a").alias("structures"))
+
+
+def identical_structures(segments: DataFrame) -> DataFrame:
+    """(contig, strand, shape, structures, first): structures with exactly the same segments."""
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("lend", "rend"))), lambda s: F.concat_ws("-", s["lend"].cast("string"), s["rend"].cast("string"))), ",")
+    shapes = segments.groupBy("contig", "strand", "acc").agg(text.alias("shape"))
+    return shapes.groupBy(*KEY, "shape").agg(F.count("*").alias("structures"), F.min("acc").alias("first"))

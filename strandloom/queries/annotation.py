@@ -132,3 +132,26 @@ def update_by_key(spark, d):
 def conditional_delete(spark, d):
     gone = table(spark, d, "supplier").where("s_acctbal < 0").select(F.col("s_suppkey").alias("l_suppkey"))
     return table(spark, d, "lineitem").join(gone, "l_suppkey", "left_anti").select("l_orderkey", "l_linenumber")
+
+
+@query(f"""WITH {MODELS}, {GENES}, c AS (SELECT contig, id, strand, lend + (rend - lend) // 4 AS lend, rend - (rend - lend) // 4 AS rend FROM g)
+SELECT b.contig, b.id AS gene, count(*) AS support, min(a.id) AS first_model FROM m a JOIN c b ON a.contig = b.contig AND a.strand = b.strand AND a.lend <= b.lend AND a.rend >= b.rend GROUP BY b.contig, b.id""")
+def full_length_support(spark, d):
+    """Models that hold the whole inner half of a gene."""
+    from strandloom.plans.ranges import overlap_join
+
+    quarter = F.floor((F.col("rend") - F.col("lend")) / 4).cast("int")
+    core = genes(spark, d).select("contig", "id", "strand", (F.col("lend") + quarter).alias("lend"), (F.col("rend") - quarter).alias("rend"))
+    met = overlap_join(models(spark, d), core, an.KEY).where("lend <= b_lend AND rend >= b_rend")
+    return met.groupBy("contig", F.col("b_id").alias("gene")).agg(F.count("*").alias("support"), F.min("id").alias("first_model"))
+
+
+@query(f"""WITH {MODELS}, {GENES}, s AS (SELECT DISTINCT contig, rend AS site, strand FROM m WHERE "group" = 1)
+SELECT s.contig, s.site, s.strand, string_agg(CAST(g.id AS VARCHAR), ',' ORDER BY CAST(g.id AS VARCHAR)) AS genes FROM s JOIN g ON s.contig = g.contig AND s.strand = g.strand AND s.site BETWEEN g.lend AND g.rend GROUP BY s.contig, s.site, s.strand""")
+def sites_to_genes(spark, d):
+    from strandloom.plans.ranges import overlap_join
+
+    s = models(spark, d).where(F.col("group") == 1).select("contig", "strand", F.col("rend").alias("lend"), "rend").distinct()
+    met = overlap_join(s, genes(spark, d), an.KEY)
+    names = F.array_join(F.array_sort(F.collect_set(F.col("b_id").cast("string"))), ",")
+    return met.groupBy("contig", F.col("lend").alias("site"), "strand").agg(names.alias("genes"))

@@ -106,3 +106,20 @@ def stop_counts(spark, d):
     s = sequences(spark, d)
     each = [F.struct(F.lit(f).alias("frame"), F.length(F.regexp_replace(seq.translate(F.col("q"), f), "[^*]", "")).alias("stops")) for f in (1, 2, 3)]
     return s.select("doc_id", F.explode(F.array(*each)).alias("x")).select("doc_id", "x.frame", "x.stops")
+
+
+@query()
+def polycistronic_sequences(spark, d):
+    return sequences(spark, d).select("doc_id", seq.polycistronic(F.col("q"), 60).alias("polycistronic"))
+
+
+@query(f"""WITH {SEQ}, k AS (SELECT doc_id, lang, q, unnest(range(1, length(q) - 1)) AS p FROM s WHERE length(q) >= 3), x AS (SELECT doc_id, lang = 'en' AS en, p - 1 AS pos, substr(q, p, 3) AS kmer FROM k),
+f AS (SELECT en, CAST(pos % 3 AS INT) AS frame, kmer, count(*) AS n FROM x GROUP BY ALL), c AS (SELECT frame, kmer, n, substr(kmer, 1, 2) AS head FROM f WHERE en), ch AS (SELECT frame, head, sum(n) AS nh FROM c GROUP BY frame, head),
+b AS (SELECT kmer, substr(kmer, 1, 2) AS head, sum(n) AS bn FROM f WHERE NOT en GROUP BY kmer), bh AS (SELECT head, sum(bn) AS bh FROM b GROUP BY head),
+r AS (SELECT c.frame, c.kmer, ln(((n + 1) / (nh + 1)) / ((coalesce(bn, 0) + 1) / (coalesce(bh, 0) + 1))) AS ratio FROM c JOIN ch USING (frame, head) LEFT JOIN b ON b.kmer = c.kmer LEFT JOIN bh ON bh.head = c.head),
+y AS (SELECT doc_id, kmer, pos, unnest([0, 1, 2]) AS shift FROM x)
+SELECT doc_id, CAST(shift + 1 AS INT) AS frame, round(sum(ratio), 5) AS score FROM y JOIN r ON r.kmer = y.kmer AND r.frame = (y.pos - y.shift) % 3 WHERE pos >= shift GROUP BY doc_id, shift""")
+def frame_scores(spark, d):
+    s = sequences(spark, d)
+    ratios = seq.log_ratios(seq.framed_kmers(s.where("lang = 'en'"), "q", 3), seq.framed_kmers(s.where("lang <> 'en'"), "q", 3), 3)
+    return seq.frame_scores(s, ratios, "doc_id", "q", 3).select("doc_id", "frame", F.round("score", 5).alias("score"))

@@ -91,3 +91,36 @@ def variation_tokens(spark, d):
     both = eq.select("acc").unionByName(eq.select(F.col("other").alias("acc")))
     v = sp.retained_introns(seg).select("acc", F.lit("retained_intron").alias("type")).unionByName(both.select("acc", F.lit("equal_exon").alias("type")))
     return labels(v, ("acc",), "type").groupBy("labels").agg(F.count("*").alias("n"), F.min("acc").alias("first_acc"))
+
+
+@query(f"""{BASE}, x AS (SELECT contig, acc, strand, lend AS x, rend AS y, lag(lend) OVER w AS pl, lag(rend) OVER w AS pr, lead(lend) OVER w AS nl, lead(rend) OVER w AS nr FROM seg WINDOW w AS (PARTITION BY contig, acc, strand ORDER BY lend))
+SELECT a.contig, a.strand, a.acc, b.acc AS other, a.x AS lend, a.y AS rend, b.x AS other_lend, b.y AS other_rend FROM x a JOIN x b ON a.contig = b.contig AND a.strand = b.strand AND a.acc < b.acc AND (a.y < b.x OR a.x > b.y)
+AND a.pl <= b.pr AND a.pr >= b.pl AND a.nl <= b.nr AND a.nr >= b.nl AND a.pr < b.nl AND a.nl > b.pr AND CASE WHEN a.y < b.x THEN a.x > b.pr AND b.y < a.nl ELSE b.x > a.pr AND a.y < b.nl END
+WHERE a.pl IS NOT NULL AND a.nl IS NOT NULL AND b.pl IS NOT NULL AND b.nl IS NOT NULL""")
+def alternate_internal_exons(spark, d):
+    return sp.alternate_internal_exons(structures(spark, d))
+
+
+@query(f"""{BASE}, m AS (SELECT a.contig, a.strand, a.acc, b.acc AS other, a.lend, a.rend, a.k, a.n, b.lend AS bl, b.rend AS br, b.k AS bk, b.n AS bn, count(*) OVER (PARTITION BY a.contig, a.strand, a.acc, b.acc, a.k) AS x,
+  count(*) OVER (PARTITION BY a.contig, a.strand, a.acc, b.acc, b.k) AS y FROM e a JOIN e b ON {PAIR} AND {STRICT}), o AS (SELECT * FROM m WHERE x = 1 AND y = 1 AND acc < other),
+v AS (SELECT contig, strand, acc, other, CASE strand WHEN '-' THEN 'donor' ELSE 'acceptor' END AS type, least(lend, bl) AS s1, greatest(lend, bl) AS s2 FROM o WHERE k > 1 AND bk > 1 AND lend <> bl
+  UNION ALL SELECT contig, strand, acc, other, CASE strand WHEN '-' THEN 'acceptor' ELSE 'donor' END, least(rend, br), greatest(rend, br) FROM o WHERE k < n AND bk < bn AND rend <> br),
+u AS (SELECT contig, strand, type, s1, s2, acc AS a FROM v UNION ALL SELECT contig, strand, type, s1, s2, other FROM v)
+SELECT contig, strand, type, s1 AS first_site, s2 AS second_site, CAST(count(*) // 2 AS BIGINT) AS pairs, count(DISTINCT a) AS structures FROM u GROUP BY ALL""")
+def splicing_events(spark, d):
+    return sp.boundary_events(sp.alternate_boundaries(structures(spark, d)))
+
+
+@query(f"""{BASE}, s AS (SELECT contig, strand, acc, string_agg(lend || '-' || rend, ',' ORDER BY lend) AS shape FROM seg GROUP BY contig, strand, acc)
+SELECT contig, strand, shape, count(*) AS structures, min(acc) AS first FROM s GROUP BY contig, strand, shape""")
+def identical_structures(spark, d):
+    return sp.identical_structures(structures(spark, d))
+
+
+@query(f"""{BASE}, n AS (SELECT *, CASE WHEN lend - max(rend) OVER (PARTITION BY contig, acc, strand ORDER BY lend ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1 < 15 THEN 0 ELSE 1 END AS fresh FROM seg),
+p AS (SELECT *, sum(fresh) OVER (PARTITION BY contig, acc, strand ORDER BY lend ROWS UNBOUNDED PRECEDING) AS pile FROM n)
+SELECT contig, acc, strand, min(lend) AS lend, max(rend) AS rend FROM p GROUP BY contig, acc, strand, pile""")
+def short_intron_collapse(spark, d):
+    from strandloom.operators.graph import collapse_short_introns
+
+    return collapse_short_introns(structures(spark, d).withColumn("id", F.col("acc")), ("contig", "acc", "strand"), 15)

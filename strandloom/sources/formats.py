@@ -208,3 +208,45 @@ def alignment_token(strand: Column, segments: Column) -> Column:
     """'orient(s) align: lend(mlend)-rend(mrend)>....<...': a structure in one line."""
     one = lambda s: F.format_string("%d(%d)-%d(%d)", s["lend"], s["mlend"], s["rend"], s["mrend"])
     return F.concat(F.lit("orient(s"), strand, F.lit(") align: "), F.array_join(F.transform(segments, one), ">....<"))
+
+
+def btab(rows: DataFrame) -> DataFrame:
+    """Hit rows of the tab-separated legacy report: query, program, subject, both spans, identity and strand by their order."""
+    f = fields(rows)
+    a, b = at(6, "int"), at(7, "int")
+    return f.select(at(0).alias("query"), at(3).alias("program"), at(5).alias("subject"), F.least(a, b).alias("lend"), F.greatest(a, b).alias("rend"), at(8, "int").alias("mlend"), at(9, "int").alias("mrend"),
+                    at(10, "double").alias("per_id"), at(13, "int").alias("chain"), F.when(a > b, "-").otherwise("+").alias("strand"))
+
+
+def feature_table(rows: DataFrame) -> DataFrame:
+    """(contig, feature, type, lend, rend, strand, partial) of '>Feature' tables; rows need number, their order, and file.
+
+    A line with a type opens a feature, lines of two numbers go on with it; qualifier lines are left out.
+    """
+    w = Window.partitionBy("file").orderBy("number")
+    c = F.split("value", "\t", -1)
+    cell = lambda i: F.get(c, F.lit(i))
+    opens = F.coalesce((cell(0) != "") & (F.trim(cell(2)) != ""), F.lit(False))
+    head = F.regexp_extract("value", r"^>Feature\s+(\S+)", 1)
+    held = rows.select("*", F.last(F.when(head != "", head), ignorenulls=True).over(w).alias("contig"), F.last(F.when(opens, F.trim(cell(2))), ignorenulls=True).over(w).alias("type"), F.sum(opens.cast("int")).over(w).alias("feature"))
+    spans = held.where(F.col("value").rlike(r"^[<>]?\d+\t[<>]?\d+"))
+    a, b = (F.regexp_replace(cell(i), "[<>]", "").try_cast("int") for i in (0, 1))
+    return spans.select("contig", "feature", "type", F.least(a, b).alias("lend"), F.greatest(a, b).alias("rend"), F.when(a > b, "-").otherwise("+").alias("strand"), F.col("value").rlike("^[<>]|\t[<>]").alias("partial"))
+
+
+def xmfa(records: DataFrame) -> DataFrame:
+    """(block, genome, lend, rend, strand, source, seq) from blocks split at '\\n=' (value, number): one row per aligned genome."""
+    entry = r">\s*(\d+):(\d+)-(\d+)\s+([+-])\s*([^\n]*)\n([^>]*)"
+    parts = records.select(F.col("number").alias("block"), F.explode(F.regexp_extract_all("value", F.lit(entry), F.lit(0))).alias("e"))
+    get = lambda i: F.regexp_extract("e", entry, i)
+    return parts.select("block", get(1).cast("int").alias("genome"), get(2).cast("int").alias("lend"), get(3).cast("int").alias("rend"), get(4).alias("strand"), F.trim(get(5)).alias("source"), F.regexp_replace(get(6), r"[\s=]", "").alias("seq"))
+
+
+def xml_rows(spark: SparkSession, path: str, tag: str) -> DataFrame:
+    """Elements of an XML file as nested rows, by Spark's own reader."""
+    return spark.read.format("xml").option("rowTag", tag).load(path)
+
+
+def accessions(rows: DataFrame) -> DataFrame:
+    """(acc) of a list file, without blanks and repeats."""
+    return rows.select(F.trim("value").alias("acc")).where("acc <> ''").distinct()

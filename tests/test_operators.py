@@ -179,3 +179,23 @@ def test_annotation_rules(spark):
     c = F.col
     got = [r.e for r in df.select(annotate.gene_errors(c("lend"), c("rend"), c("a"), c("b"), c("strand"), c("p")).alias("e")).collect()]
     assert got == [[], ["unknown strand", "coding length not a multiple of three", "no start codon", "no stop codon"]]
+
+
+def test_more_formats(spark):
+    text = lambda *x: spark.createDataFrame([(v,) for v in x], "value string")
+    t = spark.createDataFrame([(1, "f", ">Feature c1"), (2, "f", "1\t>20\tgene"), (3, "f", "\t\t\tlocus_tag\tx"), (4, "f", "9\t3\tCDS"), (5, "f", "2\t1"), (6, "f", ">Feature c2"), (7, "f", "5\t6\tgene")], "number int, file string, value string")
+    got = [tuple(r) for r in fm.feature_table(t).orderBy("contig", "feature", F.desc("lend")).collect()]
+    assert got == [("c1", 1, "gene", 1, 20, "+", True), ("c1", 2, "CDS", 3, 9, "-", False), ("c1", 2, "CDS", 1, 2, "-", False), ("c2", 3, "gene", 5, 6, "+", False)]
+    x = spark.createDataFrame([(1, "> 1:5-9 + a.fa\nAC-GT\n> 2:1-4 - b.fa\nACGT\n")], "number int, value string")
+    assert [tuple(r) for r in fm.xmfa(x).collect()] == [(1, 1, 5, 9, "+", "a.fa", "AC-GT"), (1, 2, 1, 4, "-", "b.fa", "ACGT")]
+    b = fm.btab(text("q\t\t\tblat\t\ts1\t90\t10\t1\t81\t99.5\t\t\t2")).first()
+    assert (b.query, b.subject, b.lend, b.rend, b.strand, b.chain) == ("q", "s1", 10, 90, "-", 2)
+    assert fm.accessions(text("a", " a ", "", "b")).count() == 2
+    r = fm.trim_report(text("t1\t0\t1\t90\t100\t\ttrimpoly[+0, -12]", "t2\t0\t1\t90\t100\t\ttrimpoly[+3, -12]")).collect()
+    assert [tuple(x) for x in r] == [("t1", 100, 0, 12)]
+
+
+def test_polycistron(spark):
+    orf = "ATG" + "GCA" * 30 + "TAA"
+    df = spark.createDataFrame([(orf + "CC" + orf,), (orf,), ("",)], "s string")
+    assert [r.p for r in df.select(seq.polycistronic(F.col("s"), 60).alias("p")).collect()] == [True, False, False]
