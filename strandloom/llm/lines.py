@@ -15,7 +15,8 @@ Pairs are then verified by ``levenshtein``. Variants are only emitted for lines
 lines within one edit, with m characters in the shorter, either the first or the last m div 2 characters are equal
 (the edit lies beyond the one or the other half), so a distinct line that shares none of its four keys (side, m, half),
 with m its own length or one less, has no partner. What is left is within one edit as well, so the same holds again inside
-it: lines that pass are asked for three quarters in common before they emit variants. No pair is lost by either.
+it: lines that pass are asked for keys of all but a 16th in common, and variants delete characters of that window only.
+No pair is lost by either.
 
 Nulls: a null text counts as empty and stays null. Rows with a null id come first. Equal rows (all columns) are one row
 for the order: they lose the same lines. Extra columns are kept; internal names begin with two underscores.
@@ -29,6 +30,9 @@ from pyspark.sql import functions as F
 from strandloom.llm.rows import marked
 from strandloom.plans.lineage import stored
 
+#: How often the part of a line that may differ is halved before variants are emitted.
+DEPTH = 4
+
 
 def _lines(text: str) -> Column:
     return F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
@@ -55,16 +59,21 @@ def _half_keys() -> list[Column]:
     return out
 
 
-def _quarter_keys() -> list[Column]:
-    """Eight keys of a line: a half and half of the rest, at either end of it, for both lengths of the shorter line."""
-    out = []
-    for less in (0, 1):
-        m = F.length("line") - less
-        half = F.floor(m / 2).cast("int")
-        more = F.floor((m - half) / 2).cast("int")
-        for a, b in ((half + more, F.lit(0)), (half, more), (more, half), (F.lit(0), half + more)):
-            out.append(F.xxhash64(m, a, F.left(F.col("line"), a), b, F.right(F.col("line"), b)))
-    return out
+def _deep_parts() -> Column:
+    """array<struct<key, a, b>>: every way to halve what two lines within one edit need not share DEPTH times.
+
+    a characters at the front and b at the back are in common; key says so for both lengths of the shorter line.
+    """
+    def part(c: Column) -> Column:
+        m = F.length("line") - F.shiftrightunsigned(c, DEPTH)
+        a, b, left = F.lit(0), F.lit(0), m
+        for bit in range(DEPTH):
+            half = F.floor(left / 2).cast("int")
+            front = F.shiftrightunsigned(c, bit).bitwiseAND(F.lit(1)) == 0
+            a, b, left = a + F.when(front, half).otherwise(0), b + F.when(front, 0).otherwise(half), left - half
+        return F.struct(F.xxhash64(m, a, F.left(F.col("line"), a), b, F.right(F.col("line"), b)).alias("key"), a.alias("a"), b.alias("b"))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(2 ** (DEPTH + 1) - 1)), part)
 
 
 def _sharing(keyed: DataFrame) -> DataFrame:
@@ -81,17 +90,20 @@ def _near_earlier(first: DataFrame, rows: DataFrame, text_col: str) -> DataFrame
     wanted = suspects.groupBy(F.col("pos.k").alias("__k")).agg(F.collect_list(F.struct("h1", "h2", "pos")).alias("__want"))
     held = rows.join(wanted, "__k").select("__th", _lines(text_col).alias("__lines"), F.explode("__want").alias("w")).where("w.pos.th = __th")
     # equal rows hold the same lines; one copy is enough
-    held = stored(held.select("w.h1", "w.h2", "w.pos", F.trim(F.element_at("__lines", F.col("w.pos.i") + 1)).alias("line")).dropDuplicates(["h1", "h2"]))
-    texts = stored(held.join(_sharing(held.select("h1", "h2", F.array(*_quarter_keys()).alias("keys"))), ["h1", "h2"]))
+    texts = stored(held.select("w.h1", "w.h2", "w.pos", F.trim(F.element_at("__lines", F.col("w.pos.i") + 1)).alias("line")).dropDuplicates(["h1", "h2"]))
+    parts = texts.select("h1", "h2", "pos", "line", F.explode(_deep_parts()).alias("p"))
+    keys = parts.groupBy("p.key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo <> hi").select("key")
+    me = F.struct("pos", "h1", "h2").alias("me")
+    window = F.substring(F.col("line"), F.col("p.a") + 1, F.length("line") - F.col("p.a") - F.col("p.b")).alias("window")
+    near = stored(parts.select(me, F.col("p.key").alias("key"), window).join(keys, "key", "left_semi"))
     rest = F.transform(
-        F.sequence(F.lit(1), F.length("line")),
-        lambda p: F.struct(p.alias("place"), F.xxhash64(F.concat(F.substring(F.col("line"), F.lit(1), p - 1), F.substring(F.col("line"), p + 1, F.length("line")))).alias("rest")),
+        F.sequence(F.lit(1), F.length("window")),
+        lambda p: F.struct(p.alias("place"), F.xxhash64("key", F.concat(F.substring(F.col("window"), F.lit(1), p - 1), F.substring(F.col("window"), p + 1, F.length("window")))).alias("rest")),
     )
-    me = F.struct("pos", "h1", "h2").alias("me")
-    variants = texts.select(me, F.explode(rest).alias("v")).select("me", "v.place", "v.rest")
+    variants = near.select("me", F.explode(rest).alias("v")).select("me", "v.place", "v.rest")
     earliest = variants.groupBy("place", "rest").agg(F.min("me").alias("other"), F.count("*").alias("n")).where("n > 1").drop("n")
     swapped = variants.join(earliest, ["place", "rest"]).where(F.col("me.pos") > F.col("other.pos")).select("me", "other")
-    whole = texts.select(me, F.xxhash64("line").alias("rest")).withColumnRenamed("me", "other")
+    whole = near.select(F.col("me").alias("other"), F.xxhash64("key", "window").alias("rest"))
     grown = variants.join(whole, "rest")
     grown = grown.select(F.greatest("me", "other").alias("me"), F.least("me", "other").alias("other"))
     pairs = swapped.unionByName(grown).where("me.pos > other.pos").distinct()
@@ -124,9 +136,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def _without(joined: DataFrame, columns: list[str], text_col: str) -> DataFrame:
     here = F.transform(F.filter("__gone", lambda g: g["th"] == F.col("__th")), lambda g: g["i"])
     found = joined.withColumn("__at", F.coalesce(here, F.array().cast("array<int>"))).withColumn("__all", _lines(text_col))
-    # a map, so that a text of many lines isn't searched once for each
-    lost = F.map_from_arrays("__at", F.transform("__at", lambda i: F.lit(True)))
-    kept = F.array_join(F.filter("__all", lambda x, i: ~F.map_contains_key("__lost", i)), "\n")
-    found = found.withColumn("__lost", lost).withColumn("__text", F.when(F.size("__at") == 0, F.col(text_col)).otherwise(kept))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("__all") - 1), F.col("__at"))
+    kept = F.array_join(F.transform(stay, lambda i: F.get("__all", i)), "\n")
+    found = found.withColumn("__text", F.when(F.size("__at") == 0, F.col(text_col)).otherwise(kept))
     out = [F.col("__text").alias(c) if c == text_col else F.col(f"`{c}`") for c in columns]
     return found.select(*out, F.size("__all").alias("__lines"), F.size("__at").alias("__removed"))
