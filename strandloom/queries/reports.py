@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strandloom.operators import report
 from strandloom.operators.intervals import pile_spans, piles
 from strandloom.queries.registry import iv_sql, pile_sql, query, structures_sql
-from strandloom.sources.tables import intervals_from_lineitem, structures, table
+from strandloom.sources.tables import day, intervals_from_lineitem, structures, table
 
 
 @query("SELECT count(*) AS lines, count(DISTINCT l_orderkey) AS orders, count(DISTINCT l_partkey) AS parts FROM lineitem")
@@ -45,10 +45,10 @@ def alignment_attributes(spark, d):
         F.sum(F.col("l_quantity").cast("long")).alias("aligned"), F.round(good / F.sum("l_quantity") * 100, 6).alias("identity"), F.round(good, 6).alias("score"))
 
 
-@query("SELECT l_suppkey, l_shipdate, string_agg(DISTINCT CAST(l_orderkey AS VARCHAR), ',' ORDER BY CAST(l_orderkey AS VARCHAR)) AS orders FROM lineitem GROUP BY l_suppkey, l_shipdate")
+@query("SELECT l_suppkey, CAST(date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) AS INT) AS day, string_agg(DISTINCT CAST(l_orderkey AS VARCHAR), ',' ORDER BY CAST(l_orderkey AS VARCHAR)) AS orders FROM lineitem GROUP BY 1, 2")
 def collect_keys(spark, d):
     keys = F.array_join(F.array_sort(F.collect_set(F.col("l_orderkey").cast("string"))), ",")
-    return table(spark, d, "lineitem").groupBy("l_suppkey", "l_shipdate").agg(keys.alias("orders"))
+    return table(spark, d, "lineitem").groupBy("l_suppkey", day("l_shipdate").alias("day")).agg(keys.alias("orders"))
 
 
 @query("SELECT l_partkey, l_returnflag, max(l_quantity) AS most, count(DISTINCT l_suppkey) AS suppliers FROM lineitem GROUP BY l_partkey, l_returnflag")
