@@ -349,13 +349,18 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     """(id_col, ids, starts, ends, decoded) of every row's whole text; model is a path that every worker has."""
 
     def run(batches):
+        coder = piece_bpe(model)
         for batch in batches:
-            coder = piece_bpe(model)
-            got = coder.encode(batch.column(1).to_pylist())
-            upto = np.cumsum([0] + [len(g[0]) for g in got]).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(upto), pa.array(np.concatenate([g[k] for g in got] or [np.empty(0)]).astype(np.int32))) for k in range(3)]
-            text = pa.array([coder.decode(g[0]) for g in got], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *lists, text], [id_col, "ids", "starts", "ends", "decoded"])
+            # parts of a batch, as three lists of numbers are many times the text
+            sizes = np.cumsum([len(t) for t in batch.column(1).to_pylist()]) // SLICE
+            cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), batch.num_rows]
+            for i, j in zip(cuts, cuts[1:]):
+                part = batch.slice(i, j - i)
+                got = coder.encode(part.column(1).to_pylist())
+                upto = np.cumsum([0] + [len(g[0]) for g in got]).astype(np.int32)
+                lists = [pa.ListArray.from_arrays(pa.array(upto), pa.array(np.concatenate([g[k] for g in got] or [np.empty(0)]).astype(np.int32))) for k in range(3)]
+                text = pa.array([coder.decode(g[0]) for g in got], pa.string())
+                yield pa.RecordBatch.from_arrays([part.column(0), *lists, text], [id_col, "ids", "starts", "ends", "decoded"])
 
     rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema[id_col].dataType.simpleString()
