@@ -64,16 +64,22 @@ def _deep_parts() -> Column:
 
     a characters at the front and b at the back are in common; key says so for both lengths of the shorter line.
     """
-    def part(c: Column) -> Column:
+    def cut(c: Column) -> Column:
         m = F.length("line") - F.shiftrightunsigned(c, DEPTH)
-        a, b, left = F.lit(0), F.lit(0), m
-        for bit in range(DEPTH):
-            half = F.floor(left / 2).cast("int")
-            front = F.shiftrightunsigned(c, bit).bitwiseAND(F.lit(1)) == 0
-            a, b, left = a + F.when(front, half).otherwise(0), b + F.when(front, 0).otherwise(half), left - half
-        return F.struct(F.xxhash64(m, a, F.left(F.col("line"), a), b, F.right(F.col("line"), b)).alias("key"), a.alias("a"), b.alias("b"))
-
-    return F.transform(F.sequence(F.lit(0), F.lit(2 ** (DEPTH + 1) - 1)), part)
+        halves, left = [], m
+        for _ in range(DEPTH):
+            halves.append(F.floor(left / 2).cast("int"))
+            left = left - halves[-1]
+        front = [F.shiftrightunsigned(c, bit).bitwiseAND(F.lit(1)) == 0 for bit in range(DEPTH)]
+        add = lambda which: sum((F.when(w, h).otherwise(0) for w, h in zip(which, halves)), F.lit(0))
+        return F.struct(m.alias("m"), add(front).alias("a"), add([~f for f in front]).alias("b"))
+
+    # the numbers first, so that they are worked out once for each use
+    def part(n: Column) -> Column:
+        key = F.xxhash64(n["m"], n["a"], F.left(F.col("line"), n["a"]), n["b"], F.right(F.col("line"), n["b"]))
+        return F.struct(key.alias("key"), n["a"].alias("a"), n["b"].alias("b"))
+
+    return F.transform(F.transform(F.sequence(F.lit(0), F.lit(2 ** (DEPTH + 1) - 1)), cut), part)
 
 
 def _sharing(keyed: DataFrame) -> DataFrame:
