@@ -16,7 +16,7 @@ from strandloom.llm.packing import pack, token_pieces
 from strandloom.llm.quality import fit, is_held_out, predict
 from strandloom.llm.registry import vocabulary
 from strandloom.llm.rows import marked
-from strandloom.llm.simhash import near_groups
+from strandloom.llm.simhash import similar_groups
 from strandloom.plans.lineage import stored
 
 #: SQL has no counterpart of the classifier and of the tokenizer; tests/llm compares with a brute-force version.
@@ -45,11 +45,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the least doc_id of each SimHash component; without an id there is nothing to keep it by, so it stays.
+    """Keeps the document of the least doc_id of each component of five-word similarity 0.8 or more; without an id there is nothing to keep it by, so it stays.
 
     Of several rows of that id, all different ones stay and equal ones become one.
     """
-    kept = near_groups(docs).where("doc_id = component_id").select("doc_id").distinct()
+    kept = similar_groups(docs).where("doc_id = component_id").select("doc_id").distinct()
     named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
     once = marked(named, "doc_id").dropDuplicates(["doc_id", "__th"]).drop("__k", "__th")
     return once.unionByName(docs.where(F.col("doc_id").isNull())).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -172,6 +172,34 @@ def test_simhash_links_lose_nothing(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def word_sets(text):
+    words = text.lower().split()
+    k = min(5, len(words))
+    return {" ".join(words[i : i + k]) for i in range(len(words) - k + 1)}
+
+
+def test_similar_groups_keep_to_exact_similarity(spark):
+    rng = random.Random(9)
+    rows, i = [(0, None), (1, " ")], 2
+    for _ in range(30):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        rows.append((i, " ".join(words)))
+        for changed in (2, 5, 7, 12):  # five shingles each: similarity about 0.95, 0.88, 0.84 and 0.74
+            copy = list(words)
+            for k in range(changed):
+                copy[10 + 30 * k] = f"x{rng.randrange(10**6)}"
+            rows.append((i + changed, " ".join(copy)))
+        i += 20
+    rows += [(5000 + k, f"{' '.join(f'hot{j}' for j in range(200))} end{k}") for k in range(60)]
+    sets = {k: word_sets(t or "") for k, t in rows}
+    similar = lambda a, b: (len(a & b) >= 0.8 * len(a | b))
+    want = union_find(sorted(sets), [(a, b) for a in sets for b in sets if a < b and similar(sets[a], sets[b])])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.similar_groups(df).collect()} == want
+    assert {r.doc_id: r.component_id for r in simhash.near_groups(df).collect()} != want
+    assert simhash.similar_groups(df.where("doc_id < 0")).count() == 0
+
+
 def within_one(a, b):
     if abs(len(a) - len(b)) > 1:
         return False
