@@ -1,7 +1,8 @@
 """Substring dedup by content-defined chunks (operator 10).
 
 A gear hash rolls over the UTF-8 bytes of a text; a chunk ends where its high bits are zero, so boundaries follow
-the content and an insertion shifts only the chunks that it touches. Chunks are compared by a 128-bit digest. Of
+the content and an insertion shifts only the chunks that it touches. Where it has no zeros for long, the least hash of
+the bytes around decides, and in periodic text the least of a period, so that copies are cut in one phase. Chunks are compared by a 128-bit digest. Of
 equal chunks the earliest stays, in order of (id, row, byte); later ones go where neighbours that go together
 make up at least min_run bytes, which spares short common phrases. Boundaries fall between characters, so what stays is text.
 
@@ -51,6 +52,31 @@ def gear_hits(data: np.ndarray, bits: int = BITS) -> np.ndarray:
     return np.concatenate(hits) if hits else np.empty(0, np.int64)
 
 
+def least_hashes(raw: np.ndarray, start: int, end: int) -> np.ndarray:
+    """Hashes of the last 8 bytes for the offsets start to end; what lies before the text counts as largest."""
+    begin = max(0, start - 8)
+    h = GEAR[raw[begin:end]]
+    for k in (1, 2, 4):
+        if len(h) > k:
+            h = np.concatenate([h[:k], h[k:] + (h[:-k] << np.uint32(k))])
+    h = (h << np.uint32(24)) | (h >> np.uint32(8))  # the low bits know the last bytes only; all 8 decide
+    whole = np.full(end - start + 1, 0xFFFFFFFF, np.uint32)
+    first = max(start, begin + 8)
+    if first <= end:
+        whole[first - start :] = h[first - begin - 1 :]
+    return whole
+
+
+def lowest(raw: np.ndarray, start: int, end: int, reach: int = LEAST) -> list[int]:
+    """Offsets between start and end whose hash of 8 bytes is less than the reach before and no more than the reach behind."""
+    a, b = max(0, start - reach), min(len(raw), end + reach)
+    h = np.pad(least_hashes(raw, a, b), reach, constant_values=0xFFFFFFFF)
+    least = np.lib.stride_tricks.sliding_window_view(h, reach).min(axis=1)
+    mid = h[reach:-reach]
+    found = np.flatnonzero((mid < least[: len(mid)]) & (mid <= least[reach + 1 : reach + 1 + len(mid)])) + a
+    return found[(found > start) & (found < end)].tolist()
+
+
 def boundaries(data: bytes, least: int = LEAST, most: int = MOST, bits: int = BITS) -> list[int]:
     """0, the chunk ends, and so len(data) last; [0] for no bytes."""
     raw = np.frombuffer(data, np.uint8)
@@ -63,12 +89,16 @@ def boundaries(data: bytes, least: int = LEAST, most: int = MOST, bits: int = BI
 
     for hit in [*gear_hits(raw, bits).tolist(), n]:
         hit = at_character(hit)
-        while hit - last > most:
-            last = at_character(last + most)
-            out.append(last)
-        if hit - last >= least or hit == n and hit > last:
-            out.append(hit)
-            last = hit
+        bare = hit - last > most
+        inner = [i for i in lowest(raw, last, hit) if hit - i >= least] if bare else []
+        for stop in [*map(at_character, inner), hit]:
+            while bare and stop - last > most // 2:  # periodic, or a slope: the least hash of what may end a chunk
+                start = last + least
+                last = at_character(start + int(least_hashes(raw, start, last + most // 2).argmin()))
+                out.append(last)
+            if stop - last >= least or stop == n and stop > last:
+                out.append(stop)
+                last = stop
     return out
 
 

@@ -267,6 +267,34 @@ def test_boundaries_follow_content():
     assert chunks.gear_hits(h).tolist() == slow
 
 
+def test_chunks_agree_where_no_hash_ends_one(spark):
+    rng = random.Random(3)
+    plain = []
+    while len(plain) < 12:  # passages of 51 words without a gear hit
+        t = " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(51))
+        for _ in range(2000):
+            found = chunks.gear_hits(np.frombuffer(t.encode(), np.uint8))
+            if not len(found):
+                break
+            i = int(found[0]) - 2
+            t = t[:i] + (rng.choice("abcdefgh") if t[i] != " " else " ") + t[i + 1 :]
+            i = max(0, i - rng.randrange(12))
+            t = t[:i] + (rng.choice("abcdefgh") if t[i] != " " else " ") + t[i + 1 :]
+        else:
+            continue
+        plain.append(t)
+    plain.append(" ".join(["be"] * 80))
+    word = lambda: "".join(rng.choice("klmnopqrst") for _ in range(7))
+    rows = []
+    for k, t in enumerate(plain):
+        for copy in range(2):
+            around = [" ".join(word() for _ in range(rng.randrange(10, 40))) for _ in range(2)]
+            rows.append((2 * k + copy, f"{around[0]} {t} {around[1]}"))
+    out = chunks.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    left = {r.doc_id: r.text for r in out}
+    assert [k for k, t in enumerate(plain) if t in left[2 * k + 1]] == []
+
+
 def brute_chunks(rows):
     seen, out = set(), {}
     for i, text in rows:
