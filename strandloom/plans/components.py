@@ -9,16 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.plans.lineage import cut
+from strandloom.plans.lineage import mark, release, stored
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of an edge; component is the smallest node reachable.
 
-    Null ends and self loops carry no link; a node that has only those is absent, as isolated nodes are.
+    Null ends and self loops carry no link; a node that has only those is absent, as isolated nodes are. Each round's edges
+    are stored and those of the round before deleted.
     """
+    spark, since = edges.sparkSession, mark()
     a, b = F.col(src), F.col(dst)
-    e = cut(edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
+    e = stored(edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     seen = None
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -26,7 +28,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         pairs = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v"))))
-        e = cut(large.join(low, "u").select(pairs.alias("e")).select("e.u", "e.v").where("u != v").distinct())
+        e = stored(large.join(low, "u").select(pairs.alias("e")).select("e.u", "e.v").where("u != v").distinct())
+        release(spark, since, keep=1)
         now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == seen:
             break

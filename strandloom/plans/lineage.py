@@ -3,43 +3,72 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
-_STORED: list[str] = []
+class _Made(threading.local):
+    """Folders that stored() has written in this thread and that release() hasn't deleted."""
+
+    def __init__(self) -> None:
+        self.folders: list[str] = []
+
+
+_MADE = _Made()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a temporary one only where none is configured (tests)."""
+    """The session's spark.checkpoint.dir; a temporary folder only in a local session that sets none (tests)."""
     sc = spark.sparkContext
     at = sc.getCheckpointDir()
     if at is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandloom-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="strandloom-"))
         at = sc.getCheckpointDir()
     return at
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint: survives lost executors and is cleaned with its reference."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stored(df: DataFrame) -> DataFrame:
-    """df written as compressed Parquet in the shared folder and read again: columns prune, sizes are known to AQE."""
+    """df written as compressed Parquet in the shared folder and read again: columns prune, sizes are known to AQE,
+    and a lost executor costs no more than the tasks behind it."""
     at = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
-    _STORED.append(at)
+    _MADE.folders.append(at)
     df.write.parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
-def release(spark: SparkSession) -> int:
-    """Deletes what stored() has written in this process; call it when no result is read any more. Returns how many."""
+def mark() -> int:
+    """A point in the order of stored tables, for release()."""
+    return len(_MADE.folders)
+
+
+def release(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
+    """Deletes the tables stored after `since`, but for the `keep` last ones; returns how many. What they fed must not be read any more."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    n = 0
-    while _STORED:
-        path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
-        n += bool(path.getFileSystem(conf).delete(path, True))
-    return n
+    gone = _MADE.folders[since : len(_MADE.folders) - keep]
+    for at in gone:
+        path = jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(conf).delete(path, True)
+        _MADE.folders.remove(at)
+    return len(gone)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """make()'s rows stored, and everything that it stored on its way deleted."""
+    since = mark()
+    out = stored(make())
+    release(spark, since, keep=1)
+    return out
+
+
+def spread(df: DataFrame, *by: str | Column) -> DataFrame:
+    """df dealt evenly over at least as many tasks as the session shuffles into: before a step that makes many rows of one,
+    which a small table would otherwise do in a task or two."""
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *by)
