@@ -15,9 +15,9 @@ from strandloom.llm.lines import line_dedup
 from strandloom.llm.packing import pack, token_pieces
 from strandloom.llm.quality import fit, is_held_out, predict
 from strandloom.llm.registry import vocabulary
-from strandloom.llm.rows import marked
+from strandloom.llm.rows import Rows
 from strandloom.llm.simhash import similar_groups
-from strandloom.plans.lineage import stored
+from strandloom.plans.lineage import settled
 
 #: SQL has no counterpart of the classifier and of the tokenizer; tests/llm compares with a brute-force version.
 ORACLE_SQL = None
@@ -51,8 +51,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     kept = similar_groups(docs).where("doc_id = component_id").select("doc_id").distinct()
     named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
-    once = marked(named, "doc_id").dropDuplicates(["doc_id", "__th"]).drop("__k", "__th")
-    return once.unionByName(docs.where(F.col("doc_id").isNull())).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = Rows(named, "doc_id", "text")
+    return rows.back(rows.df.dropDuplicates(["k", "th"])).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,5 +79,5 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        docs = settled(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,8 +6,11 @@ the bytes around decides, and in periodic text the least of a period, so that co
 equal chunks the earliest stays, in order of (id, row, byte); later ones go where neighbours that go together
 make up at least min_run bytes, which spares short common phrases. Boundaries fall between characters, so what stays is text.
 
+Chunks are cut twice, for counting and for finding what goes: a table of them would take as much disk as the corpus itself.
+
 Nulls: a null text has no chunks and stays null; rows with a null id come first. Equal rows (all columns) are one row
-for the order and lose the same chunks. Extra columns are kept; internal names begin with two underscores.
+for the order and lose the same chunks. Extra columns are kept, whatever their names and types; ``__bytes`` and ``__removed`` get further
+underscores where docs has columns of these names. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.rows import marked
+from strandloom.llm.rows import Rows
 
 #: Least and largest chunk in bytes (before a boundary moves to a character's start), and the zero bits that end one.
 LEAST, MOST, BITS = 24, 160, 5
@@ -113,10 +116,10 @@ def runs(starts: list[int], ends: list[int], min_run: int) -> list[tuple[int, in
     return [(a, b) for a, b in out if b - a >= min_run]
 
 
-def chunk_rows(rows: DataFrame, id_col: str, text_col: str, least: int = LEAST, most: int = MOST, bits: int = BITS) -> DataFrame:
-    """(__k, __th, __id, at, size, d1, d2): one row per chunk, d1 and d2 being its digest."""
-    picked = rows.where(F.col(text_col).isNotNull()).select("__k", "__th", F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    kind = picked.schema["__id"].dataType.simpleString()
+def chunk_rows(rows: Rows, least: int = LEAST, most: int = MOST, bits: int = BITS) -> DataFrame:
+    """(k, th, id, at, size, d1, d2): one row per chunk, d1 and d2 being its digest."""
+    picked = rows.df.where(F.col(rows.text).isNotNull()).select("k", "th", F.col(rows.id).alias("id"), F.col(rows.text).alias("text"))
+    kind = picked.schema["id"].dataType.simpleString()
 
     def run(batches):
         import xxhash
@@ -137,21 +140,20 @@ def chunk_rows(rows: DataFrame, id_col: str, text_col: str, least: int = LEAST,
                 take = own[part]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(k).take(take) for k in range(3)), pa.array(at[part], pa.int32()), pa.array(size[part], pa.int32()), pa.array(d[part, 0].copy()), pa.array(d[part, 1].copy())],
-                    ["__k", "__th", "__id", "at", "size", "d1", "d2"],
+                    ["k", "th", "id", "at", "size", "d1", "d2"],
                 )
 
-    return picked.mapInArrow(run, f"__k bigint, __th bigint, __id {kind}, at int, size int, d1 bigint, d2 bigint")
+    return picked.mapInArrow(run, f"k bigint, th bigint, id {kind}, at int, size int, d1 bigint, d2 bigint")
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN) -> DataFrame:
     """docs with repeated runs cut out of text_col, and __bytes, __removed: its size before, and how much went."""
-    rows = marked(docs, id_col)
-    chunks = chunk_rows(rows, id_col, text_col)
-    pos = F.struct(F.col("__id").alias("id"), F.col("__th").alias("th"), "at")
-    first = chunks.groupBy("d1", "d2").agg(F.min(pos).alias("pos"), F.count("*").alias("n")).where("n > 1")
+    rows = Rows(docs, id_col, text_col)
+    chunks = chunk_rows(rows)
+    first = chunks.groupBy("d1", "d2").agg(F.min(F.struct("id", "th", "at")).alias("pos"), F.count("*").alias("n")).where("n > 1")
     first = first.select("d1", "d2", F.col("pos.th").alias("first_th"), F.col("pos.at").alias("first_at"))
-    later = chunks.drop("__id").join(first, ["d1", "d2"]).where("NOT (first_th = __th AND first_at = at)")
-    gone = later.groupBy("__k").agg(F.collect_set(F.struct("__th", "at", (F.col("at") + F.col("size")).alias("end"))).alias("__gone"))
+    later = chunks.drop("id").join(first, ["d1", "d2"]).where("NOT (first_th = th AND first_at = at)")
+    gone = later.groupBy("k", "th").agg(F.collect_set(F.struct("at", (F.col("at") + F.col("size")).alias("end"))).alias("gone"))  # of one row, or of equal ones
 
     @F.pandas_udf("text string, removed bigint")
     def without(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
@@ -167,9 +169,6 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             out.append((t, sum(y - x for x, y in cut)))
         return pd.DataFrame(out, columns=["text", "removed"])
 
-    mine = F.filter("__gone", lambda g: g["__th"] == F.col("__th"))
-    joined = rows.join(gone, "__k", "left").withColumn("__mine", mine)
-    cut = joined.withColumn("__cut", without(F.col(text_col), F.col("__mine.at"), F.col("__mine.end")))
-    out = [F.col("__cut.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")
-    return cut.select(*out, size.alias("__bytes"), F.col("__cut.removed").alias("__removed"))
+    joined = rows.df.join(gone, ["k", "th"], "left")
+    cut = joined.withColumn("cut", without(F.col(rows.text), F.col("gone.at"), F.col("gone.end")))
+    return rows.back(cut, F.col("cut.text"), __bytes=F.coalesce(F.octet_length(rows.text), F.lit(0)).cast("long"), __removed=F.col("cut.removed"))

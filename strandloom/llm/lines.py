@@ -15,11 +15,13 @@ Pairs are then verified by ``levenshtein``. Variants are only emitted for lines
 lines within one edit, with m characters in the shorter, either the first or the last m div 2 characters are equal
 (the edit lies beyond the one or the other half), so a distinct line that shares none of its four keys (side, m, half),
 with m its own length or one less, has no partner. What is left is within one edit as well, so the same holds again inside
-it: lines that pass are asked for keys of all but a 16th in common, and variants delete characters of that window only.
-No pair is lost by either.
+it: lines that pass are asked for keys of all but a 16th in common, and again in what is left until no more than WINDOW
+characters may differ, and variants delete characters of that window only. No pair is lost by any of it, and a line of n characters costs
+in proportion to n, however long it is.
 
 Nulls: a null text counts as empty and stays null. Rows with a null id come first. Equal rows (all columns) are one row
-for the order: they lose the same lines. Extra columns are kept; internal names begin with two underscores.
+for the order: they lose the same lines. Extra columns are kept, whatever their names and types; ``__lines`` and ``__removed`` get
+further underscores where docs has columns of these names. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -27,21 +29,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.rows import marked
-from strandloom.plans.lineage import stored
+from strandloom.llm.rows import Rows
+from strandloom.plans.lineage import spread, stored
 
-#: How often the part of a line that may differ is halved before variants are emitted.
-DEPTH = 4
+#: How often a round halves the part of a line that may differ, and how many characters of it variants may delete from.
+DEPTH, WINDOW = 4, 32
 
 
 def _lines(text: str) -> Column:
     return F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
 
 
-def _occurrences(rows: DataFrame, id_col: str, text_col: str, min_chars: int, *more: Column) -> DataFrame:
-    """One row per line of min_chars or more: (__k, __th, id, i, line), then `more` over line."""
-    exploded = rows.select("__k", "__th", F.col(id_col).alias("__id"), F.posexplode(_lines(text_col)).alias("i", "raw"))
-    return exploded.withColumn("line", F.trim("raw")).where(F.length("line") >= min_chars).select("__k", "__th", "__id", "i", "line", *more)
+def _occurrences(rows: Rows, min_chars: int, *more: Column) -> DataFrame:
+    """One row per line of min_chars or more: (k, th, id, i, line), then `more` over line."""
+    exploded = rows.df.select("k", "th", F.col(rows.id).alias("id"), F.posexplode(_lines(rows.text)).alias("i", "raw"))
+    return exploded.withColumn("line", F.trim("raw")).where(F.length("line") >= min_chars).select("k", "th", "id", "i", "line", *more)
 
 
 def _digest() -> list[Column]:
@@ -60,26 +62,27 @@ def _half_keys() -> list[Column]:
 
 
 def _deep_parts() -> Column:
-    """array<struct<key, a, b>>: every way to halve what two lines within one edit need not share DEPTH times.
+    """array<struct<key, m, window>>: every way to halve DEPTH times what a window and its partner need not share.
 
-    a characters at the front and b at the back are in common; key says so for both lengths of the shorter line.
+    m is what the shorter of the two windows holds; a characters at the front and b at the back are in common, which
+    key says together with what the rounds before found; what is left is the next window.
     """
     def cut(c: Column) -> Column:
-        m = F.length("line") - F.shiftrightunsigned(c, DEPTH)
-        halves, left = [], m
+        halves, left = [], F.col("m")
         for _ in range(DEPTH):
             halves.append(F.floor(left / 2).cast("int"))
             left = left - halves[-1]
         front = [F.shiftrightunsigned(c, bit).bitwiseAND(F.lit(1)) == 0 for bit in range(DEPTH)]
         add = lambda which: sum((F.when(w, h).otherwise(0) for w, h in zip(which, halves)), F.lit(0))
-        return F.struct(m.alias("m"), add(front).alias("a"), add([~f for f in front]).alias("b"))
+        return F.struct(add(front).alias("a"), add([~f for f in front]).alias("b"))
 
     # the numbers first, so that they are worked out once for each use
     def part(n: Column) -> Column:
-        key = F.xxhash64(n["m"], n["a"], F.left(F.col("line"), n["a"]), n["b"], F.right(F.col("line"), n["b"]))
-        return F.struct(key.alias("key"), n["a"].alias("a"), n["b"].alias("b"))
+        key = F.xxhash64("key", "m", n["a"], F.left(F.col("window"), n["a"]), n["b"], F.right(F.col("window"), n["b"]))
+        rest = F.substring(F.col("window"), n["a"] + 1, F.length("window") - n["a"] - n["b"])
+        return F.struct(key.alias("key"), (F.col("m") - n["a"] - n["b"]).cast("int").alias("m"), rest.alias("window"))
 
-    return F.transform(F.transform(F.sequence(F.lit(0), F.lit(2 ** (DEPTH + 1) - 1)), cut), part)
+    return F.transform(F.transform(F.sequence(F.lit(0), F.lit(2**DEPTH - 1)), cut), part)
 
 
 def _sharing(keyed: DataFrame) -> DataFrame:
@@ -89,24 +92,37 @@ def _sharing(keyed: DataFrame) -> DataFrame:
     return rows.join(shared, "key", "left_semi").select("h1", "h2").distinct()
 
 
-def _near_earlier(first: DataFrame, rows: DataFrame, text_col: str) -> DataFrame:
+def _narrowed(texts: DataFrame) -> DataFrame:
+    """(me, key, window): the parts of lines that may differ from a partner's, of at most WINDOW characters and one."""
+    me = F.struct("pos", "h1", "h2").alias("me")
+    lengths = F.explode(F.array(F.length("line"), F.length("line") - 1)).alias("m")
+    todo = spread(texts, "h1", "h2").select(me, F.lit(0).cast("long").alias("key"), lengths, F.col("line").alias("window"))
+    done = None
+    while True:
+        parts = todo.select("me", F.explode(_deep_parts()).alias("p")).select("me", "p.*")
+        shared = parts.groupBy("key").agg(F.min("me.h1").alias("lo"), F.max("me.h1").alias("hi")).where("lo <> hi").select("key")
+        near = stored(parts.join(shared, "key", "left_semi"))
+        small = near.where(F.col("m") <= WINDOW).select("me", "key", "window")
+        done = small if done is None else done.unionByName(small)
+        todo = near.where(F.col("m") > WINDOW)  # m is in the key, so partners go on together
+        if todo.isEmpty():
+            return done
+
+
+def _near_earlier(first: DataFrame, rows: Rows) -> DataFrame:
     """(h1, h2) of distinct lines that have an earlier line within one edit."""
     suspects = _sharing(first).join(first.select("h1", "h2", "pos"), ["h1", "h2"])
     # the lines themselves come from the rows that hold them first
-    wanted = suspects.groupBy(F.col("pos.k").alias("__k")).agg(F.collect_list(F.struct("h1", "h2", "pos")).alias("__want"))
-    held = rows.join(wanted, "__k").select("__th", _lines(text_col).alias("__lines"), F.explode("__want").alias("w")).where("w.pos.th = __th")
+    wanted = suspects.groupBy(F.col("pos.k").alias("k"), F.col("pos.th").alias("th")).agg(F.collect_list(F.struct("h1", "h2", "pos")).alias("want"))
+    held = rows.df.join(wanted, ["k", "th"]).select(_lines(rows.text).alias("lines"), F.explode("want").alias("w"))
     # equal rows hold the same lines; one copy is enough
-    texts = stored(held.select("w.h1", "w.h2", "w.pos", F.trim(F.element_at("__lines", F.col("w.pos.i") + 1)).alias("line")).dropDuplicates(["h1", "h2"]))
-    parts = texts.select("h1", "h2", "pos", "line", F.explode(_deep_parts()).alias("p"))
-    keys = parts.groupBy("p.key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo <> hi").select("key")
-    me = F.struct("pos", "h1", "h2").alias("me")
-    window = F.substring(F.col("line"), F.col("p.a") + 1, F.length("line") - F.col("p.a") - F.col("p.b")).alias("window")
-    near = stored(parts.select(me, F.col("p.key").alias("key"), window).join(keys, "key", "left_semi"))
+    texts = stored(held.select("w.h1", "w.h2", "w.pos", F.trim(F.element_at("lines", F.col("w.pos.i") + 1)).alias("line")).dropDuplicates(["h1", "h2"]))
+    near = _narrowed(texts)
     rest = F.transform(
         F.sequence(F.lit(1), F.length("window")),
         lambda p: F.struct(p.alias("place"), F.xxhash64("key", F.concat(F.substring(F.col("window"), F.lit(1), p - 1), F.substring(F.col("window"), p + 1, F.length("window")))).alias("rest")),
     )
-    variants = near.select("me", F.explode(rest).alias("v")).select("me", "v.place", "v.rest")
+    variants = near.where("window <> ''").select("me", F.explode(rest).alias("v")).select("me", "v.place", "v.rest")
     earliest = variants.groupBy("place", "rest").agg(F.min("me").alias("other"), F.count("*").alias("n")).where("n > 1").drop("n")
     swapped = variants.join(earliest, ["place", "rest"]).where(F.col("me.pos") > F.col("other.pos")).select("me", "other")
     whole = near.select(F.col("me").alias("other"), F.xxhash64("key", "window").alias("rest"))
@@ -126,24 +142,20 @@ def _near_earlier(first: DataFrame, rows: DataFrame, text_col: str) -> DataFrame
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20) -> DataFrame:
     """docs with the lines removed from text_col, and __lines, __removed: how many lines the text had and lost."""
-    rows = marked(docs, id_col)
-    occurrences = _occurrences(rows, id_col, text_col, min_chars, *_digest(), F.array(*_half_keys()).alias("keys"))
-    pos = F.struct(F.col("__id").alias("id"), F.col("__th").alias("th"), F.col("i"), F.col("__k").alias("k"))
+    rows = Rows(docs, id_col, text_col)
+    occurrences = _occurrences(rows, min_chars, *_digest(), F.array(*_half_keys()).alias("keys"))
+    pos = F.struct("id", "th", "i", "k")
     first = stored(occurrences.select("h1", "h2", "keys", pos.alias("pos")).groupBy("h1", "h2").agg(F.min("pos").alias("pos"), F.first("keys").alias("keys"), F.count("*").alias("n")))
-    near = stored(_near_earlier(first, rows, text_col)).withColumn("gone", F.lit(True))
-    judged = first.select("h1", "h2", "pos", "n").join(near, ["h1", "h2"], "left").where("n > 1 OR gone")
-    judged = judged.select("h1", "h2", F.col("pos.th").alias("first_th"), F.col("pos.i").alias("first_i"), F.coalesce("gone", F.lit(False)).alias("gone"))
-    places = _occurrences(rows, id_col, text_col, min_chars, *_digest()).select("__k", "__th", "i", "h1", "h2")
-    gone = places.join(judged, ["h1", "h2"]).where("gone OR NOT (first_th = __th AND first_i = i)")
-    gone = gone.select("__k", F.struct(F.col("__th").alias("th"), "i").alias("at")).groupBy("__k").agg(F.collect_set("at").alias("__gone"))
-    return _without(rows.join(gone, "__k", "left"), docs.columns, text_col)
-
-
-def _without(joined: DataFrame, columns: list[str], text_col: str) -> DataFrame:
-    here = F.transform(F.filter("__gone", lambda g: g["th"] == F.col("__th")), lambda g: g["i"])
-    found = joined.withColumn("__at", F.coalesce(here, F.array().cast("array<int>"))).withColumn("__all", _lines(text_col))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("__all") - 1), F.col("__at"))
-    kept = F.array_join(F.transform(stay, lambda i: F.get("__all", i)), "\n")
-    found = found.withColumn("__text", F.when(F.size("__at") == 0, F.col(text_col)).otherwise(kept))
-    out = [F.col("__text").alias(c) if c == text_col else F.col(f"`{c}`") for c in columns]
-    return found.select(*out, F.size("__all").alias("__lines"), F.size("__at").alias("__removed"))
+    near = stored(_near_earlier(first, rows)).withColumn("near", F.lit(True))
+    judged = first.select("h1", "h2", "pos", "n").join(near, ["h1", "h2"], "left").where("n > 1 OR near")
+    judged = judged.select("h1", "h2", F.col("pos.th").alias("first_th"), F.col("pos.i").alias("first_i"), F.coalesce("near", F.lit(False)).alias("near"))
+    places = _occurrences(rows, min_chars, *_digest()).select("k", "th", "i", "h1", "h2")
+    gone = places.join(judged, ["h1", "h2"]).where("near OR NOT (first_th = th AND first_i = i)")
+    gone = gone.groupBy("k", "th").agg(F.collect_set("i").alias("gone"))  # of one row, or of equal ones
+    found = rows.df.join(gone, ["k", "th"], "left")
+    at, all_ = F.coalesce("gone", F.array().cast("array<int>")), _lines(rows.text)
+    found = found.withColumns({"at": at, "all": all_})
+    stay = F.array_except(F.sequence(F.lit(0), F.size("all") - 1), F.col("at"))
+    kept = F.array_join(F.transform(stay, lambda i: F.get("all", i)), "\n")
+    text = F.when(F.size("at") == 0, F.col(rows.text)).otherwise(kept)
+    return rows.back(found, text, __lines=F.size("all"), __removed=F.size("at"))

@@ -9,11 +9,12 @@ different spans need sorting: the distinct spans of many keys make one buffer, i
 (directly those smaller than their successor, the rest by scanning buckets), and neighbours with a
 common prefix of `width` bytes are repeats.
 
-A key with more than GROUP distinct spans isn't sorted in one task: its windows become rows (key, offset from a gram,
-digest) that Spark counts with partial aggregation, which gives the same answer at any size.
+A task never holds more than about 2 * BUFFER bytes of spans. A key whose distinct spans are more than BUFFER isn't sorted in
+one task: its windows become rows (key, digest) that Spark counts with partial aggregation, which gives the same answer at any size.
 
 Nulls: a null text counts as empty. Equal rows (all columns) are repeats of each other, as any copies are. Extra columns
-are kept; internal names begin with two underscores.
+are kept, whatever their names and types; ``__spans`` and ``__kept`` get further underscores where docs has columns of these names.
+An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -24,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.rows import marked
+from strandloom.llm.rows import Rows
 from strandloom.plans.lineage import stored
 
 WIDTH, GRAM = 400, 32
-#: Windows of a span at most; distinct spans of a key that one task sorts; bytes of a buffer; bytes of text handled at a time.
-RUN, GROUP, BUFFER, BLOCK = 4096, 8192, 1 << 20, 1 << 20
+#: Windows of a span at most; bytes of spans that are sorted together; bytes of text handled at a time.
+RUN, BUFFER, BLOCK = 4096, 1 << 20, 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -168,8 +169,8 @@ def ranges(hit: np.ndarray) -> tuple[list[int], list[int]]:
     return np.flatnonzero(edge == 1).tolist(), (np.flatnonzero(edge == -1) - 1).tolist()
 
 
-def _spans(rows: DataFrame, text_col: str, width: int) -> DataFrame:
-    picked = rows.where(F.octet_length(text_col) >= width).select("__k", "__th", F.col(text_col).alias("__text"))
+def _spans(rows: Rows, width: int) -> DataFrame:
+    picked = rows.df.where(F.octet_length(rows.text) >= width).select("k", "th", F.col(rows.text).alias("text"))
 
     def run(batches):
         import xxhash
@@ -189,36 +190,34 @@ def _spans(rows: DataFrame, text_col: str, width: int) -> DataFrame:
             own = pa.array(owner, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(own), batch.column(1).take(own), pa.array(at, pa.int64()), pa.array(n, pa.int32()), pa.array(key, pa.int64()), pa.array(again, pa.bool_()), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())],
-                ["__k", "__th", "at", "n", "key", "again", "d1", "d2"],
+                ["k", "th", "at", "n", "key", "again", "d1", "d2"],
             )
 
-    return picked.mapInArrow(run, "__k bigint, __th bigint, at bigint, n int, key bigint, again boolean, d1 bigint, d2 bigint")
+    return picked.mapInArrow(run, "k bigint, th bigint, at bigint, n int, key bigint, again boolean, d1 bigint, d2 bigint")
 
 
-def _bytes_of(reps: DataFrame, rows: DataFrame, text_col: str, width: int) -> DataFrame:
+def _bytes_of(reps: DataFrame, rows: Rows, width: int) -> DataFrame:
     """reps (key, d1, d2, held: where one copy is) with their bytes."""
-    want = reps.groupBy(F.col("held.k").alias("__k")).agg(F.collect_list(F.struct("key", "d1", "d2", F.col("held.th").alias("th"), F.col("held.at").alias("at"), "n")).alias("__want"))
-    joined = rows.select("__k", "__th", F.col(text_col).alias("__text")).join(want, "__k")
+    want = reps.groupBy("held.k", "held.th").agg(F.collect_list(F.struct("key", "d1", "d2", F.col("held.at").alias("at"), "n")).alias("want"))
+    joined = rows.df.select("k", "th", F.col(rows.text).alias("text")).join(want, ["k", "th"])
 
     def take(batches):
         for batch in batches:
             out = {c: [] for c in ("key", "d1", "d2", "span")}
-            for th, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                data = None
+            for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                data = (text or "").encode()
                 for w in wanted:
-                    if w["th"] == th and text is not None:
-                        data = data or text.encode()
-                        for c in ("key", "d1", "d2"):
-                            out[c].append(w[c])
-                        out["span"].append(data[w["at"] : w["at"] + w["n"] + width - 1])
+                    for c in ("key", "d1", "d2"):
+                        out[c].append(w[c])
+                    out["span"].append(data[w["at"] : w["at"] + w["n"] + width - 1])
             yield pa.RecordBatch.from_arrays([*(pa.array(out[c], pa.int64()) for c in ("key", "d1", "d2")), pa.array(out["span"], pa.binary())], list(out))
 
-    taken = joined.select("__th", "__text", "__want").mapInArrow(take, "key bigint, d1 bigint, d2 bigint, span binary")
+    taken = joined.select("text", "want").mapInArrow(take, "key bigint, d1 bigint, d2 bigint, span binary")
     return taken.dropDuplicates(["key", "d1", "d2"])  # equal rows each give their copy
 
 
 def _sorted_repeats(spans: DataFrame, width: int) -> DataFrame:
-    """(key, d1, d2, first, last): runs of repeated windows, for keys of bounded groups."""
+    """(key, d1, d2, first, last): runs of repeated windows, for keys of at most BUFFER bytes."""
 
     def run(batches):
         held: list[tuple[int, int, int, bytes]] = []
@@ -266,21 +265,21 @@ def _counted_repeats(spans: DataFrame, width: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """docs with __spans, the maximal removed byte runs array<struct<start, end>>, and __kept, the other bytes in a row."""
-    rows = marked(docs, id_col)
-    spans = _spans(rows, text_col, width)
+    rows = Rows(docs, id_col, text_col)
+    spans = stored(_spans(rows, width))
     keys = spans.groupBy("key").agg(F.count("*").alias("spans"), (F.min("d1") != F.max("d1")).alias("mixed"), F.max("again").alias("within"))
     keys = keys.where("spans > 1 OR within").select("key", (F.col("mixed") | F.col("within")).alias("sort"))
     live = stored(spans.drop("again").join(keys, "key"))
-    held = F.struct(F.col("__k").alias("k"), F.col("__th").alias("th"), "at")
+    held = F.struct("k", "th", "at")
     reps = live.groupBy("key", "d1", "d2", "n").agg(F.min(held).alias("held"), F.count("*").alias("copies"), F.first("sort").alias("sort"))
-    texts = stored(_bytes_of(reps.where("sort"), rows, text_col, width))
-    big = texts.groupBy("key").count().where(F.col("count") > GROUP).select("key")
+    texts = stored(_bytes_of(reps.where("sort"), rows, width))
+    big = texts.groupBy("key").agg(F.sum(F.octet_length("span")).alias("size")).where(F.col("size") > BUFFER).select("key")
     found = _sorted_repeats(texts.join(big, "key", "left_anti"), width).unionByName(_counted_repeats(texts.join(big, "key", "left_semi"), width))
     copied = reps.where("copies > 1").select("key", "d1", "d2", F.lit(0).cast("long").alias("first"), (F.col("n") - 1).cast("long").alias("last"))
     cover = stored(found.unionByName(copied).groupBy("key", "d1", "d2").agg(F.collect_list(F.struct("first", "last")).alias("runs")))
-    placed = live.join(cover, ["key", "d1", "d2"]).select("__k", "__th", "at", F.explode("runs").alias("r"))
-    placed = placed.select("__k", F.struct("__th", (F.col("at") + F.col("r.first")).alias("start"), (F.col("at") + F.col("r.last") + width).alias("end")).alias("s"))
-    gone = placed.groupBy("__k").agg(F.collect_list("s").alias("__gone"))
+    placed = live.join(cover, ["key", "d1", "d2"]).select("k", "th", "at", F.explode("runs").alias("r"))
+    ends = F.struct((F.col("at") + F.col("r.first")).alias("start"), (F.col("at") + F.col("r.last") + width).alias("end"))
+    gone = placed.groupBy("k", "th").agg(F.collect_set(ends).alias("gone"))  # of one row, or of equal ones
 
     @F.pandas_udf("spans array<struct<start: bigint, end: bigint>>, kept binary")
     def cut(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
@@ -299,7 +298,6 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             out.append((merged, b"".join([*kept, data[last:]])))
         return pd.DataFrame(out, columns=["spans", "kept"])
 
-    mine = F.filter("__gone", lambda g: g["__th"] == F.col("__th"))
-    joined = rows.join(gone, "__k", "left").withColumn("__mine", mine)
-    done = joined.withColumn("__cut", cut(F.col(text_col), F.col("__mine.start"), F.col("__mine.end")))
-    return done.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("__cut.spans").alias("__spans"), F.col("__cut.kept").alias("__kept"))
+    joined = rows.df.join(gone, ["k", "th"], "left")
+    done = joined.withColumn("cut", cut(F.col(rows.text), F.col("gone.start"), F.col("gone.end")))
+    return rows.back(done, __spans=F.col("cut.spans"), __kept=F.col("cut.kept"))

@@ -336,10 +336,10 @@ def brute_repeats(data, width):
     return out
 
 
-@pytest.mark.parametrize("group", [8192, 1])
-def test_repeated_spans(spark, none, group, monkeypatch):
-    rng = random.Random(group)
-    monkeypatch.setattr(suffixes, "GROUP", group)
+@pytest.mark.parametrize("buffer", [1 << 20, 1])
+def test_repeated_spans(spark, none, buffer, monkeypatch):
+    rng = random.Random(buffer)
+    monkeypatch.setattr(suffixes, "BUFFER", buffer)
     word = lambda: "".join(rng.choice("abcdé") for _ in range(rng.randrange(1, 7)))
     passage = [" ".join(word() for _ in range(rng.randrange(60, 200))) for _ in range(4)]
     rows = [(None, None), (0, ""), (1, "ab" * 900), (2, "c" * 399), (3, "c" * 400), (4, "c" * 401), (5, passage[0])]
