@@ -1,8 +1,12 @@
-"""Rank-synchronous pair merging over batches of short symbol sequences, in numpy.
+"""Rank-synchronous pair merging over batches of symbol sequences, in numpy.
 
 A batch is one flat symbol array cut into sequences. In every round each sequence merges its own
 lowest-ranked adjacent pair (the leftmost on ties), all sequences at once, until none has a pair left.
 That is the order in which a priority queue over one sequence would merge, so results are the same.
+
+A long sequence would need as many rounds over all of itself as it has merges. It is merged by itself, rank by rank: a round takes all places of
+its lowest-ranked pair at once and looks at these places and their neighbours only. Where its merge can give a pair of a lower rank
+than its own (there may be two ways to one symbol), a round ends with the first place where it does.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ NONE = np.int64(1) << 40
 
 
 class PairTable:
-    """(left, right) -> (rank, merged), as a sorted key array behind a power-of-two hash of bounded probes."""
+    """(left, right) -> (rank, merged), in a power-of-two hash of bounded probes; safe says that no pair with the merged symbol has a lower rank."""
 
     def __init__(self, left, right, rank, merged):
         left, right = np.asarray(left, np.int64), np.asarray(right, np.int64)
@@ -25,12 +29,18 @@ class PairTable:
         self.keys = np.full(size, -1, np.int64)
         self.rank = np.full(size, NONE, np.int64)
         self.merged = np.zeros(size, np.int64)
+        rank, merged = np.asarray(rank, np.int64), np.asarray(merged, np.int64)
+        used = np.full(max(1 << self.shift, int(merged.max(initial=0)) + 1), NONE)  # the lowest rank that uses a symbol
+        np.minimum.at(used, left, rank)
+        np.minimum.at(used, right, rank)
+        self.safe = np.zeros(size, bool)
         todo, at, self.probes = np.arange(len(keys)), self._home(keys), 1
         while len(todo):
             free = self.keys[at[todo]] < 0
             slots, first = np.unique(at[todo][free], return_index=True)
             won = todo[free][first]
-            self.keys[slots], self.rank[slots], self.merged[slots] = keys[won], np.asarray(rank)[won], np.asarray(merged)[won]
+            self.keys[slots], self.rank[slots], self.merged[slots] = keys[won], rank[won], merged[won]
+            self.safe[slots] = used[merged[won]] > rank[won]
             todo = np.setdiff1d(todo, won)
             at[todo] = (at[todo] + 1) & (size - 1)
             self.probes += bool(len(todo))
@@ -54,6 +64,11 @@ class PairTable:
             open_ = open_[~hit & (self.keys[at[open_]] >= 0)]
         return slot
 
+    def rank_of(self, left, right):
+        """The pairs' ranks, NONE where there is no such pair; a symbol below zero is none."""
+        slot = np.where((left >= 0) & (right >= 0), self.find(np.maximum(left, 0), np.maximum(right, 0)), -1)
+        return np.where(slot >= 0, self.rank[slot], NONE)
+
 
 def merge_all(symbols: np.ndarray, starts: np.ndarray, table: PairTable) -> tuple[np.ndarray, np.ndarray]:
     """Merged (symbols, starts) of a ragged batch; starts has one entry per sequence, none of them empty."""
@@ -130,34 +145,60 @@ def merge_ragged(symbols: np.ndarray, starts: np.ndarray, table: PairTable, batc
 
 
 def merge_long(symbols: np.ndarray, table: PairTable) -> np.ndarray:
-    """One sequence beyond a batch: a heap over its linked symbols, in time n log n."""
+    """One long sequence: its symbols linked to their neighbours, and the places of each rank's pair in wait."""
     import heapq
 
-    sym = symbols.tolist()
-    n = len(sym)
-    nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-    slots = table.find(symbols[:-1], symbols[1:])
-    heap = [(int(table.rank[s]), i, sym[i], sym[i + 1]) for i, s in enumerate(slots.tolist()) if s >= 0]
-    heapq.heapify(heap)
-
-    def offer(i):
-        j = nxt[i]
-        if i >= 0 and j < n:
-            s = int(table.find(np.array([sym[i]]), np.array([sym[j]]))[0])
-            if s >= 0:
-                heapq.heappush(heap, (int(table.rank[s]), i, sym[i], sym[j]))
-
-    while heap:
-        _, i, a, b = heapq.heappop(heap)
-        j = nxt[i]
-        if sym[i] != a or j >= n or sym[j] != b:
+    n = len(symbols)
+    sym = np.append(symbols.astype(np.int64), -1)
+    right, left = np.arange(1, n + 2), np.arange(-1, n)
+    waiting: dict[int, list[np.ndarray]] = {}
+    ranks: list[int] = []
+
+    def wait(at: np.ndarray) -> None:
+        """Puts the pairs that begin at these places in wait."""
+        at = at[(at >= 0) & (right[at] < n)]
+        slot = table.find(sym[at], sym[right[at]])
+        at, rank = at[slot >= 0], table.rank[slot[slot >= 0]]
+        order = np.argsort(rank, kind="stable")
+        at, rank = at[order], rank[order]
+        cuts = np.flatnonzero(rank[1:] != rank[:-1]) + 1
+        for r, some in zip(rank[np.append(0, cuts)].tolist() if len(rank) else [], np.split(at, cuts)):
+            if r not in waiting:
+                waiting[r] = []
+                heapq.heappush(ranks, r)
+            waiting[r].append(some)
+
+    wait(np.arange(n - 1))
+    while ranks:
+        r = heapq.heappop(ranks)
+        at = np.unique(np.concatenate(waiting.pop(r)))
+        at = at[(sym[at] >= 0) & (right[at] < n)]
+        slot = table.find(sym[at], sym[right[at]])
+        same = slot >= 0
+        same[same] = table.rank[slot[same]] == r
+        at, slot = at[same], slot[same]
+        if not len(at):
             continue
-        sym[i] = int(table.merged[int(table.find(np.array([a]), np.array([b]))[0])])
-        sym[j] = -1
-        nxt[i] = nxt[j]
-        if nxt[j] < n:
-            prv[nxt[j]] = i
-        offer(i)
-        if prv[i] >= 0:
-            offer(prv[i])
-    return np.array([s for s in sym if s >= 0], np.int64)
+        if len(at) > 1 and (right[at[:-1]] == at[1:]).any():  # where places share a symbol every other one of them
+            joined = np.append(False, right[at[:-1]] == at[1:])
+            first = np.flatnonzero(~joined)
+            inside = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+            at, slot = at[inside % 2 == 0], slot[inside % 2 == 0]
+        if not table.safe[slot].all():
+            new = table.merged[slot]
+            before, behind = sym[left[at]], sym[right[right[at]]]
+            before[1:] = np.where(right[right[at[:-1]]] == at[1:], new[:-1], before[1:])
+            low = np.minimum(table.rank_of(before, new), table.rank_of(new, behind))
+            upto = int(np.argmax(low <= r)) + 1 if (low <= r).any() else len(at)
+            if upto < len(at):
+                waiting[r] = [at[upto:]]
+                heapq.heappush(ranks, r)
+                at, slot = at[:upto], slot[:upto]
+        gone = right[at]
+        sym[at] = table.merged[slot]
+        sym[gone] = -1
+        right[at] = right[gone]
+        left[right[at]] = at
+        wait(np.unique(np.concatenate([at, left[at]])))
+    sym = sym[:-1]
+    return sym[sym >= 0]
