@@ -64,7 +64,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and offset, in windows of 4096."""
     pieces = token_pieces(docs, vocabulary("word_bpe_49k.json"), end_id=2, capacity=4096)
     pieces = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
-    return pack(pieces, docs.count(), 4096)
+    return pack(pieces, 4096)
 
 
 STAGES = [

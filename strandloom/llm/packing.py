@@ -1,9 +1,14 @@
 """Packing token pieces into windows by best-fit decreasing (operator 1).
 
-Overlong documents are first cut into full windows; what is left of every document is placed, longest first,
-into the open window with the least room that still holds it. A segment tree over the possible rooms finds
-that window. Documents are dealt into groups by a hash of their id, as many as the row count asks for, and
-each group is packed by itself, so no task sees more than about GROUP_ROWS documents whatever the skew.
+Overlong documents are first cut into full windows, which need no packing: they are numbered where they are. What is left of every
+document is placed, longest first, into the open window with the least room that still holds it. A segment tree over
+the possible rooms finds that window. Rests are dealt by their number in the stored table into groups of about GROUP_ROWS, as many as
+there are rests, and each group is packed by itself, so no task sees more whatever the skew of ids (nulls, repeats, one
+document of most of the tokens).
+
+Nulls: a null text counts as empty and gives the end token alone; null ids are kept. Repeated rows and ids are packed
+each for itself; ties in length keep the order of (id, start). Very long texts are many full windows. Other columns are left out by
+token_pieces; pack keeps those of its pieces. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -14,7 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandloom.llm.rows import free_name
 from strandloom.llm.wordbpe import word_bpe
+from strandloom.plans.lineage import stored
 
 GROUP_ROWS = 16_384
 
@@ -95,23 +102,28 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int =
     return rows.mapInArrow(cut, f"`{id_col}` {kind}, start bigint, length bigint, ids binary, doc_tokens bigint")
 
 
-def pack(pieces: DataFrame, rows: int, capacity: int = 4096, id_col: str = "doc_id") -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 4096, id_col: str = "doc_id") -> DataFrame:
     """pieces with (sequence_id, offset): windows of at most capacity tokens, gapless from offset 0.
 
-    rows sizes the groups (about one document each). sequence_id is the group times 2^32 plus the window's number there;
-    pieces of a group are put in a fixed order first, so a task that runs again gives the same windows. Pieces with a
-    null id go to one group of the hash like any other.
+    The pieces are stored first: they are tokenised once, and a row's number there is the same whenever a task runs again.
+    sequence_id is the group times 2^32 plus the window's number there; full windows count on from behind the last group.
     """
-    groups = max(1, -(-rows // GROUP_ROWS))
     names = pieces.columns
+    row = free_name("__row", names)
+    held = stored(pieces)
+    rest = held.where(F.col("length") < capacity).withColumn(row, F.monotonically_increasing_id())
+    groups = max(1, -(-rest.count() // GROUP_ROWS))
+    group = free_name("__group", names)
 
     def place(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([id_col, "start", *[c for c in names if c not in (id_col, "start")]], kind="stable", ignore_index=True)
+        pdf = pdf.sort_values([id_col, "start", row], kind="stable", ignore_index=True)
         window, offset = best_fit_decreasing(pdf["length"].to_numpy(), capacity)
-        pdf["sequence_id"] = (pdf["__group"].to_numpy() << 32) + window
+        pdf["sequence_id"] = (pdf[group].to_numpy() << 32) + window
         pdf["offset"] = offset
         return pdf[[*names, "sequence_id", "offset"]]
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id bigint, offset bigint"
-    grouped = pieces.withColumn("__group", F.pmod(F.xxhash64(F.col(id_col), F.lit("pack")), F.lit(groups)))
-    return grouped.groupBy("__group").applyInPandas(place, schema)
+    packed = rest.withColumn(group, F.pmod(F.xxhash64(row), F.lit(groups))).groupBy(group).applyInPandas(place, schema)
+    number = F.lit(groups << 32).cast("long") + F.monotonically_increasing_id()
+    full = held.where(F.col("length") >= capacity).withColumns({"sequence_id": number, "offset": F.lit(0).cast("long")})
+    return packed.unionByName(full)
