@@ -170,35 +170,44 @@ class Hnsw:
         return out
 
 
-def above(index: Hnsw, q: np.ndarray, least: float, beam: int = 48, audit: int = 48, recall: float = 0.95, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def above(index: Hnsw, q: np.ndarray, least: float, beam: int = 48, audit: int = 32, recall: float = 0.97, many: int = 8, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(query, node) numbers of pairs with similarity of about least or more.
 
-    A query whose whole beam is above least is asked again with twice the beam. Then a sample of queries, half of
-    them among those that found something, is held against all nodes; below the recall wanted, every beam is doubled.
+    Every query is searched in the graph first. One whose whole beam is above least is asked again with twice the beam; once
+    a beam would be a quarter of the nodes, the product with all of them is as cheap and exact. Then queries are audited by class, those
+    with at least `many` links and those with fewer: a sample of each is held against all nodes, and while the mean of its
+    queries' recalls is below the one wanted, the whole class is asked again with twice the beam.
     """
-    n = len(index.x)
-    rng = np.random.default_rng(seed)
-    while True:
-        todo, width, r_out, n_out = np.arange(len(q)), min(beam, n), [], []
+    n, rng = len(index.x), np.random.default_rng(seed)
+
+    def ask(todo: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        r_out, n_out, again = [], [], width > beam
         while len(todo):
-            if 4 * width >= n:  # as wide as the shard: all of it, for the few queries that want it
+            if again and 4 * width >= n:
                 r, c = np.nonzero(q[todo] @ index.x.T >= least)
                 r_out.append(todo[r])
                 n_out.append(c)
                 break
             ids, sim = index.search(q[todo], width)
             hit = (ids >= 0) & (sim >= least)
-            full = hit.all(1)
+            full = hit.all(1) & (ids.shape[1] < n)
             r, c = np.nonzero(hit & ~full[:, None])
             r_out.append(todo[r])
             n_out.append(ids[r, c])
-            todo, width = todo[full], min(2 * width, n)
-        found_q, found_n = np.concatenate(r_out), np.concatenate(n_out)
-        if 4 * beam >= n:
-            return found_q, found_n
-        lucky = np.unique(found_q)
-        some = np.unique(np.concatenate([rng.permutation(len(q))[: audit // 2], rng.permutation(lucky)[: audit // 2]])).astype(np.int64)
-        true = int((q[some] @ index.x.T >= least).sum())
-        if np.isin(found_q, some).sum() >= recall * true:
-            return found_q, found_n
-        beam *= 2
+            todo, width, again = todo[full], 2 * width, True
+        empty = np.empty(0, np.int64)
+        return np.concatenate([empty, *r_out]), np.concatenate([empty, *n_out])
+
+    found_q, found_n = ask(np.arange(len(q)), beam)
+    count = np.bincount(found_q, minlength=len(q))
+    for todo in (np.flatnonzero(count < many), np.flatnonzero(count >= many)):
+        some = rng.permutation(todo)[:audit]
+        true = (q[some] @ index.x.T >= least).sum(1)
+        width = beam
+        while len(some) and width < n and np.where(true > 0, count[some] / np.maximum(true, 1), 1.0).mean() < recall:
+            width *= 2
+            stay = ~np.isin(found_q, todo)
+            more_q, more_n = ask(todo, width)
+            found_q, found_n = np.concatenate([found_q[stay], more_q]), np.concatenate([found_n[stay], more_n])
+            count = np.bincount(found_q, minlength=len(q))
+    return found_q, found_n
