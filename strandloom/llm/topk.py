@@ -1,16 +1,17 @@
 """Exact top-k inner products over tiles (operator 5).
 
 Candidates are dealt into shards and packed into tiles of bounded rows; queries are packed into blocks, and every
-block meets every tile once, shard by shard. One matrix product per meeting, a partial selection of k per query,
-then the lists are merged in two levels: within a shard, then over shards.
+block streams past every shard's tiles, which a task holds. One matrix product per meeting, a partial selection of k per query,
+then the lists are merged as a tree: over the tiles of a shard in its task, then over FAN shards at a time until one list is left.
 
-A tile's vectors are one array column of integers, so nothing is sent to the driver or broadcast. Products run in
+A shard holds at most about SHARD_BYTES of vectors, so the number of shards follows from the table; a smaller table is cut into as
+many as the session has tasks for, but not below a tile each. Nothing is sent to the driver or broadcast. Products run in
 double precision, which is exact while dimension times the largest squared component stays below 2^53; beyond that a
 tile falls back to Python integers, and a score beyond 64 bits is an error.
 
 Vectors that are null, empty, or hold null or non-finite components take no part, as query or as candidate. Vectors of
 different lengths don't meet. Ids should be unique: of rows with one id, each is a candidate by itself, except to a
-query of that id. Rows with a null id take no part. Ties go to the smaller id.
+query of that id. Rows with a null id take no part. Ties go to the smaller id. Extra columns are left out. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SHARDS, TILE, BLOCK = 16, 2048, 512
+#: Candidates of a tile, queries of a block, bytes of a shard's candidates (about), and lists that are merged at a time.
+TILE, BLOCK, SHARD_BYTES, FAN = 2048, 512, 64 << 20, 16
 
 
 def quantised(vec: str = "embedding", scale: int = 256) -> Column:
@@ -91,7 +93,23 @@ def tile_topk(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray
     return [np.concatenate(x) if x else np.empty(0, np.int64) for x in (out_q, out_c, out_s)]
 
 
-def topk(rows: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vec: Column | None = None, where: Column | None = None, shards: int = SHARDS) -> DataFrame:
+def cut_best(parts: list[list[np.ndarray]], k: int) -> list[np.ndarray]:
+    """Of [query id, candidate id, score] columns, the k best of every query."""
+    q, c, s = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((c, -s, q))
+    q, c, s = q[order], c[order], s[order]
+    first = np.flatnonzero(np.append(True, q[1:] != q[:-1])) if len(q) else np.empty(0, np.int64)
+    rank = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))
+    return [x[rank < k] for x in (q, c, s)]
+
+
+def shards_for(rows: DataFrame) -> int:
+    """How many shards to deal rows (v) into."""
+    n, size = rows.agg(F.count("*"), F.coalesce(F.sum(8 * F.size("v")), F.lit(0))).first()
+    return max(1, -(-size // SHARD_BYTES), min(rows.sparkSession.sparkContext.defaultParallelism, -(-n // TILE)))
+
+
+def topk(rows: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vec: Column | None = None, where: Column | None = None, shards: int | None = None) -> DataFrame:
     """(query_id, rank, <id_col>, score): for each query row the k other rows of the largest inner product.
 
     vec gives integer components (quantised by default), where says which rows take part (usable by default).
@@ -99,24 +117,37 @@ def topk(rows: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vec:
     vec = quantised() if vec is None else vec
     where = usable() if where is None else where
     all_ = rows.where(where & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), vec.alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
+    shards = shards or shards_for(all_)
     shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
-    tiles = _packed(all_.select("id", "v").repartition(shards, shard), shard, TILE, "c_")
-    blocks = _packed(all_.where("q").select("id", "v"), F.lit(0), BLOCK, "q_").drop("g")
-    blocks = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("g"), "q_ids", "q_flat")
+    tiles = _packed(all_.select("id", "v").repartition(shards, shard), shard, TILE, "")
+    blocks = _packed(all_.where("q").select("id", "v"), F.lit(0), BLOCK, "").drop("g")
+    asks = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("g"), F.lit(1).alias("kind"), "ids", "flat")
+    # every shard's tiles first, then the blocks that stream past them
+    met = tiles.select("g", F.lit(0).alias("kind"), "ids", "flat").unionByName(asks).repartition(3 * shards, "g").sortWithinPartitions("g", "kind")
 
     def meet(batches):
+        at, held = None, []
         for batch in batches:
             for row in range(batch.num_rows):
-                g = batch.column("g")[row].as_py()
-                q_ids, q, c_ids, c = (batch.column(n)[row].values.to_numpy(zero_copy_only=False) for n in ("q_ids", "q_flat", "c_ids", "c_flat"))
-                q, c = q.reshape(len(q_ids), -1), c.reshape(len(c_ids), -1)
-                if q.shape[1] != c.shape[1]:
+                g, kind = batch.column("g")[row].as_py(), batch.column("kind")[row].as_py()
+                ids, flat = (batch.column(n)[row].values.to_numpy(zero_copy_only=False) for n in ("ids", "flat"))
+                if g != at:
+                    at, held = g, []
+                if kind == 0:
+                    held.append((ids.copy(), flat.reshape(len(ids), -1).copy()))
                     continue
-                got = tile_topk(q_ids, q, c_ids, c, k)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(got[0]), g), pa.int32()), *map(pa.array, got)], ["g", "query_id", "vec_id", "score"])
-
-    partial = tiles.join(blocks.hint("shuffle_merge"), "g").select("g", "q_ids", "q_flat", "c_ids", "c_flat").mapInArrow(meet, "g int, query_id bigint, vec_id bigint, score bigint")
-    best = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("score"), "vec_id"))
-    partial = partial.withColumn("rank", best("query_id", "g")).where(F.col("rank") <= k)
-    merged = partial.withColumn("rank", best("query_id")).where(F.col("rank") <= k)
-    return merged.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias(id_col), "score")
+                flat = flat.reshape(len(ids), -1)
+                got = [tile_topk(ids, flat, c_ids, c, k) for c_ids, c in held if c.shape[1] == flat.shape[1]]
+                if got:
+                    best = cut_best(got, k)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(best[0]), g), pa.int32()), *map(pa.array, best)], ["g", "query_id", "vec_id", "score"])
+
+    merged = met.mapInArrow(meet, "g int, query_id bigint, vec_id bigint, score bigint")
+    while True:
+        merged = merged.withColumn("g", F.floor(F.col("g") / FAN).cast("int"))
+        best = F.row_number().over(Window.partitionBy("query_id", "g").orderBy(F.desc("score"), "vec_id"))
+        merged = merged.withColumn("rank", best).where(F.col("rank") <= k)
+        shards = -(-shards // FAN)
+        if shards <= 1:
+            return merged.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias(id_col), "score")
+        merged = merged.drop("rank")
