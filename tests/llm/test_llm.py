@@ -53,16 +53,31 @@ def union_find(ids, links):
     return {i: find(i) for i in ids}
 
 
-def test_merging_equals_a_heap():
+def one_by_one(symbols, pairs):
+    """The leftmost of the lowest-ranked pairs, again and again."""
+    out = list(symbols)
+    while True:
+        found = [(pairs[p][0], i) for i, p in enumerate(zip(out, out[1:])) if p in pairs]
+        if not found:
+            return out
+        i = min(found)[1]
+        out[i : i + 2] = [pairs[tuple(out[i : i + 2])][1]]
+
+
+@pytest.mark.parametrize("ranks", [[3, 1, 2, 0, 4], [0, 1, 2, 3, 4]])
+def test_merging_equals_one_pair_at_a_time(ranks):
     rng = random.Random(1)
-    table = merges.PairTable([0, 1, 3, 0, 4], [1, 0, 2, 0, 3], [3, 1, 2, 0, 4], [3, 4, 5, 6, 7])
+    left, right, merged = [0, 1, 3, 0, 4], [1, 0, 2, 0, 3], [3, 4, 5, 6, 7]
+    table = merges.PairTable(left, right, ranks, merged)
+    pairs = {(a, b): (r, m) for a, b, r, m in zip(left, right, ranks, merged)}
+    assert table.safe[table.find(np.array([0]), np.array([1]))[0]] == (ranks[0] == 0)
     words = [[rng.randrange(3) for _ in range(rng.randrange(1, 40))] for _ in range(300)]
+    want = [one_by_one(w, pairs) for w in words]
     flat = np.array([s for w in words for s in w])
     starts = np.cumsum([0] + [len(w) for w in words[:-1]])
     for long in (10, 10_000):
         sym, at = merges.merge_ragged(flat, starts, table, batch=200, long=long)
-        for w, got in zip(words, np.split(sym, at[1:])):
-            assert merges.merge_long(np.array(w), table).tolist() == got.tolist()
+        assert [x.tolist() for x in np.split(sym, at[1:])] == want
 
 
 def test_words_equal_library(texts):
@@ -128,9 +143,20 @@ def check_packing(rows, texts):
 
 def test_packing(spark, odd, none, texts):
     check_packing(registry.op1_packing(spark, D).collect(), texts)
-    p = packing.pack(packing.token_pieces(odd, WORDS, 2), 10).collect()
+    p = packing.pack(packing.token_pieces(odd, WORDS, 2)).collect()
     assert sum(r["length"] for r in p if r["start"] == 0 and r["doc_id"] is None) > 0 and len({(r["sequence_id"], r["offset"]) for r in p}) == len(p)
-    assert packing.pack(packing.token_pieces(none, WORDS, 2), 0).count() == 0
+    assert packing.pack(packing.token_pieces(none, WORDS, 2)).count() == 0
+
+
+def test_packing_of_one_id(spark, monkeypatch):
+    """Rests of null ids are dealt like any others, and a document of many windows needs no packing."""
+    monkeypatch.setattr(packing, "GROUP_ROWS", 16)
+    df = spark.range(200).selectExpr("cast(null as long) AS doc_id", "concat('w', id) AS text")
+    df = df.unionByName(spark.createDataFrame([(7, "a b c " * 20000)], "doc_id long, text string"))
+    rows = packing.pack(packing.token_pieces(df, WORDS, 2)).collect()
+    assert len({r.sequence_id for r in rows if r.length == 4096}) == sum(r.length == 4096 for r in rows) > 10
+    assert len({r.sequence_id >> 32 for r in rows if r.doc_id is None}) > 8
+    assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
 
 
 def test_simhash(spark, odd, none, texts):
@@ -427,7 +453,8 @@ def test_topk(spark):
     for i in range(0, 150, 50):
         best = sorted((-int(q[i] @ q[j]), j) for j in range(150) if j != i)[:5]
         want |= {(i, r, j, -s) for r, (s, j) in enumerate(best, 1)}
-    assert {tuple(r) for r in topk.topk(df, F.col("vec_id") % 50 == 0, 5, shards=3).collect()} == want
+    for n in (None, 3, 40):
+        assert {tuple(r) for r in topk.topk(df, F.col("vec_id") % 50 == 0, 5, shards=n).collect()} == want
     assert topk.topk(df.where("vec_id < 0"), F.lit(True), 5).count() == 0
     few = topk.topk(df.where("vec_id < 3"), F.col("vec_id") == 0, 5).collect()
     assert [r.rank for r in few] == [1, 2]
@@ -446,23 +473,56 @@ def test_hnsw_recall():
     assert len(set(zip(a.tolist(), b.tolist())) & set(map(tuple, want.tolist()))) >= 0.95 * len(want)
 
 
-def test_near_vectors(spark):
+def brute_links(v):
+    u = vectors.unit(v)
+    link = u @ u.T >= 0.9
+    np.fill_diagonal(link, False)
+    comp = union_find(range(len(v)), [(int(a), int(b)) for a, b in np.argwhere(link) if a < b])
+    return {i: (int(link[i].sum()), comp[i], comp[i] == i) for i in range(len(v))}
+
+
+@pytest.mark.parametrize("shards", [None, 3])
+def test_near_vectors(spark, shards):
     rng = np.random.default_rng(5)
     base = rng.normal(size=(40, 8))
     v = np.concatenate([base, base + rng.normal(size=base.shape) * 0.15, base[:5]])
     rows = [(i, x.tolist(), 7) for i, x in enumerate(v)]
     odd_rows = [(900, None, 0), (901, [0.0] * 8, 0), (902, [float("inf")] * 8, 0), (903, [], 0), (904, [None] * 8, 0), (None, [1.0] * 8, 0)]
     df = spark.createDataFrame(rows + odd_rows, VECS)
-    u = vectors.unit(v)
-    link = u @ u.T >= 0.9
-    np.fill_diagonal(link, False)
-    comp = union_find(range(len(v)), [(int(a), int(b)) for a, b in np.argwhere(link)])
-    got = {r.vec_id: tuple(r)[1:] for r in vectors.near_vectors(df).collect()}
-    assert {i: got[i] for i in range(len(v))} == {i: (int(link[i].sum()), comp[i], comp[i] == i) for i in range(len(v))}
+    got = {r.vec_id: tuple(r)[1:] for r in vectors.near_vectors(df, shards=shards).collect()}
+    assert {i: got[i] for i in range(len(v))} == brute_links(v)
     assert all(got[i] == (0, i, True) for i in range(900, 905)) and got[None] == (0, None, False)
     assert vectors.near_vectors(df.where("vec_id < 0")).count() == 0
 
 
+def test_near_vectors_of_a_hot_group(spark):
+    """Half of the rows are near each other; many shards; every link of every vector is asked for in graphs."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(300, 16))
+    v = np.concatenate([base[i : i + 1] + rng.normal(size=(5, 16)) * 0.05 for i in range(300)] + [base[:1] + rng.normal(size=(1500, 16)) * 0.05])
+    df = spark.createDataFrame([(i, x.tolist(), 0) for i, x in enumerate(v)], VECS)
+    want = brute_links(v)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(df, shards=2).collect()}
+    assert sum(got[i][0] for i in want) >= 0.99 * sum(w[0] for w in want.values()) and all(got[i][0] <= want[i][0] for i in want)
+    assert sum(got[i][1] == want[i][1] for i in want) >= 0.99 * len(want)
+
+
+def test_near_vectors_emits_no_pair_per_link(spark):
+    v = np.random.default_rng(3).normal(size=(1, 8)) + np.random.default_rng(4).normal(size=(600, 8)) * 0.01
+    df = spark.createDataFrame([(i, 1, x.tolist()) for i, x in enumerate(v)], "id long, n long, v array<double>")
+    assert vectors.links(df.coalesce(1), shards=1, streams=1).count() <= 3 * 600  # two blocks; of 359,400 half-links
+
+
+def test_registered_vector_queries(spark):
+    t = pq.read_table(f"{D}/embeddings.parquet").to_pydict()
+    v = np.array(t["embedding"], np.float64)
+    assert t["vec_id"] == list(range(len(v)))
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in registry.op4_near_vectors(spark, D).collect()} == brute_links(v)
+    q = np.floor(v * 256).astype(int)
+    want = {(i, r, j, -s) for i in range(0, len(v), 50) for r, (s, j) in enumerate(sorted((-int(q[i] @ q[j]), j) for j in range(len(v)) if j != i)[:5], 1)}
+    assert {tuple(r) for r in registry.op5_topk(spark, D).collect()} == want
+
+
 def test_pipeline_against_brute_force(spark, texts):
     import corpus_pipeline as cp
 
