@@ -134,10 +134,58 @@ def orfs(s: Column, least: int = 30, code: str = "universal", partial: bool = Fa
 
 
 def tail_trim(s: Column, letter: str = "A", least: int = 7, share: float = 80.0) -> Column:
-    """Length of the longest ending of at least `least` bases that begins and ends in `letter` and holds `share` percent of it."""
-    tails = F.sequence(F.lit(least), F.greatest(F.lit(least), F.length(s)))
-    fits = lambda n: (F.length(s) >= n) & (F.substring(F.right(s, n), F.lit(1), F.lit(1)) == letter) & F.endswith(s, F.lit(letter)) & (percent_of(F.right(s, n), letter) >= share)
-    return F.coalesce(F.array_max(F.filter(tails, fits)), F.lit(0))
+    """Length of the longest ending of at least `least` bases that begins and ends in `letter` and holds `share` percent of it: one pass from the end."""
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("hits"), F.lit(0).alias("best"))
+
+    def step(a: Column, c: Column) -> Column:
+        n, hits = a["n"] + 1, a["hits"] + (c == letter).cast("int")
+        fits = (c == letter) & (n >= least) & (100 * hits >= share * n)
+        return F.struct(n.alias("n"), hits.alias("hits"), F.when(fits, n).otherwise(a["best"]).alias("best"))
+
+    found = F.aggregate(F.split(F.reverse(s), ""), start, step, lambda a: a["best"])
+    return F.when(F.endswith(s, F.lit(letter)), found).otherwise(0)
+
+
+def poly_tails(s: Column, run: int = 5, least: int = 7, gap: int = 4, share: float = 0.15) -> Column:
+    """struct<left, right>: bases of a poly-T head and of a poly-A tail to trim, 0 where there is none.
+
+    A tail grows from a run of `run` letters that begins within `share` of the length from its end, to both sides, by one a letter and minus two for
+    others, until `gap` others follow each other. It is trimmed, with what lies behind it, if its best score is `least` and one more for
+    every ten bases between it and the end. Of several the one that reaches furthest inwards counts.
+    """
+
+    @F.pandas_udf("left int, right int")
+    def find(x: pd.Series) -> pd.DataFrame:
+        import re
+
+        seeds = re.compile(f"A{{{run},}}").finditer
+
+        def grow(q: str, i: int, step: int) -> tuple[int, int]:
+            """(score, reach) of the best extension of a run from its end i."""
+            score = best = misses = at = k = 0
+            while 0 <= i < len(q) and misses < gap:
+                k += 1
+                score, misses = (score + 1, 0) if q[i] == "A" else (score - 2, misses + 1)
+                if score > best:
+                    best, at = score, k
+                i += step
+            return best, at
+
+        def tail(q: str) -> int:
+            n, done = len(q), -1
+            for m in seeds(q, int(n - n * share)):
+                if m.start() <= done:
+                    continue
+                (left, a), (right, b) = grow(q, m.start() - 1, -1), grow(q, m.end(), 1)
+                done = m.end() + b
+                if left + right + m.end() - m.start() >= least + (n - done) // 10:
+                    return n - (m.start() - a)
+            return 0
+
+        rows = [(tail(t.upper()[::-1].replace("A", "x").replace("T", "A")), tail(t.upper())) if t else (0, 0) for t in x]
+        return pd.DataFrame(rows, columns=["left", "right"], dtype="int32")
+
+    return find(s)
 
 
 def low_complexity(s: Column, window: int = 64, limit: float = 20.0) -> Column:

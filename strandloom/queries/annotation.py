@@ -146,12 +146,12 @@ def full_length_support(spark, d):
     return met.groupBy("contig", F.col("b_id").alias("gene")).agg(F.count("*").alias("support"), F.min("id").alias("first_model"))
 
 
-@query(f"""WITH {MODELS}, {GENES}, s AS (SELECT DISTINCT contig, rend AS site, strand FROM m WHERE "group" = 1)
+@query(f"""WITH {MODELS}, {GENES}, s AS (SELECT DISTINCT contig, rend AS site, strand FROM m)
 SELECT s.contig, s.site, s.strand, string_agg(CAST(g.id AS VARCHAR), ',' ORDER BY CAST(g.id AS VARCHAR)) AS genes FROM s JOIN g ON s.contig = g.contig AND s.strand = g.strand AND s.site BETWEEN g.lend AND g.rend GROUP BY s.contig, s.site, s.strand""")
 def sites_to_genes(spark, d):
     from strandloom.plans.ranges import overlap_join
 
-    s = models(spark, d).where(F.col("group") == 1).select("contig", "strand", F.col("rend").alias("lend"), "rend").distinct()
+    s = models(spark, d).select("contig", "strand", F.col("rend").alias("lend"), "rend").distinct()
     met = overlap_join(s, genes(spark, d), an.KEY)
     names = F.array_join(F.array_sort(F.collect_set(F.col("b_id").cast("string"))), ",")
     return met.groupBy("contig", F.col("lend").alias("site"), "strand").agg(names.alias("genes"))

@@ -59,14 +59,13 @@ def semi_join_keys(spark, d):
     return table(spark, d, "lineitem").join(keys, "l_partkey", "left_semi").select("l_orderkey", "l_linenumber", "l_partkey")
 
 
-_TOKENS = """WITH k AS (SELECT DISTINCT unnest(list_filter(string_split_regex(text, '[ \\t\\n]+'), lambda t: t <> '')) AS w FROM benchmark WHERE item_id % 10 = 0),
+_TOKENS = """WITH k AS (SELECT DISTINCT unnest(list_filter(string_split_regex(text, '[ \\t\\n]+'), lambda t: t <> '')) AS w FROM benchmark),
 t AS (SELECT DISTINCT doc_id, unnest(list_filter(string_split_regex(text, '[ \\t\\n]+'), lambda t: t <> '')) AS w FROM documents),
 h AS (SELECT DISTINCT doc_id FROM t JOIN k USING (w)) """
 
 
 def _any_token(spark, d, invert):
-    b = table(spark, d, "benchmark").where("item_id % 10 = 0")
-    keys = b.select(F.explode(sel.tokens("text")).alias("w")).distinct()
+    keys = table(spark, d, "benchmark").select(F.explode(sel.tokens("text")).alias("w")).distinct()
     return sel.with_any_token(table(spark, d, "documents"), keys, "text", "w", "doc_id", invert).select("doc_id")
 
 

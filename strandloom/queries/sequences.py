@@ -75,16 +75,28 @@ def poly_a_percent(spark, d):
     return sequences(spark, d).where("length(q) > 0").select("doc_id", F.round(seq.percent_of(F.col("q"), "A"), 6).alias("percent_a"))
 
 
-@query(f"""WITH {SEQ}, e AS (SELECT doc_id, right(q, 60) AS q FROM s), n AS (SELECT doc_id, q, unnest(range(3, 61)) AS n FROM e WHERE q LIKE '%A'),
-f AS (SELECT doc_id, max(n) AS n FROM n WHERE length(q) >= n AND substr(right(q, n), 1, 1) = 'A' AND length(right(q, n)) - length(replace(right(q, n), 'A', '')) >= 0.6 * n GROUP BY doc_id)
-SELECT e.doc_id, CAST(coalesce(f.n, 0) AS INT) AS tail FROM e LEFT JOIN f USING (doc_id)""")
+@query(f"""WITH {SEQ}, p AS (SELECT doc_id, q, unnest(range(1, length(q) + 1)) AS n FROM s WHERE q LIKE '%A'),
+h AS (SELECT doc_id, n, substr(q, length(q) - n + 1, 1) = 'A' AS hit FROM p), c AS (SELECT *, sum(hit::INT) OVER (PARTITION BY doc_id ORDER BY n ROWS UNBOUNDED PRECEDING) AS hits FROM h),
+f AS (SELECT doc_id, max(n) AS n FROM c WHERE hit AND n >= 3 AND 100 * hits >= 60.0 * n GROUP BY doc_id)
+SELECT s.doc_id, CAST(coalesce(f.n, 0) AS INT) AS tail FROM s LEFT JOIN f USING (doc_id)""")
 def poly_a_tail(spark, d):
-    return sequences(spark, d).select("doc_id", seq.tail_trim(F.right(F.col("q"), F.lit(60)), "A", 3, 60.0).alias("tail"))
+    return sequences(spark, d).select("doc_id", seq.tail_trim(F.col("q"), "A", 3, 60.0).alias("tail"))
 
 
-@query(f"""WITH {SEQ} SELECT doc_id, substr(q, 11, 20) || substr(q, 51, 25) AS plus, reverse(translate(substr(q, 11, 20) || substr(q, 51, 25), 'ACGT', 'TGCA')) AS minus FROM s""")
+@query()
+def poly_tails(spark, d):
+    return sequences(spark, d).select("doc_id", seq.poly_tails(F.col("q"), 3, 4).alias("t")).select("doc_id", "t.left", "t.right")
+
+
+_PIECES = "substr(q, length(q) // 10 + 1, 3 * length(q) // 10 - length(q) // 10) || substr(q, length(q) // 2 + 1, 4 * length(q) // 5 - length(q) // 2)"
+
+
+@query(f"""WITH {SEQ} SELECT doc_id, {_PIECES} AS plus, reverse(translate({_PIECES}, 'ACGT', 'TGCA')) AS minus FROM s""")
 def spliced_sequences(spark, d):
-    segments = F.expr("array(named_struct('lend', 11, 'rend', 30), named_struct('lend', 51, 'rend', 75))")
+    """Two segments of every sequence, at shares of its own length."""
+    n = F.length("q")
+    part = lambda a, b: F.struct((F.floor(a) + 1).cast("int").alias("lend"), F.floor(b).cast("int").alias("rend"))
+    segments = F.array(part(n / 10, 3 * n / 10), part(n / 2, 4 * n / 5))
     return sequences(spark, d).select("doc_id", seq.spliced(F.col("q"), segments, F.lit("+")).alias("plus"), seq.spliced(F.col("q"), segments, F.lit("-")).alias("minus"))
 
 
