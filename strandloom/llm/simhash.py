@@ -7,6 +7,13 @@ the whole fingerprints are compared in the join's condition, and a pair is given
 
 Rows with equal fingerprints are one node: a group of copies, whatever its size, never meets itself in the join.
 
+A key has 20 or 21 free bits, so a fingerprint meets about n / 2^20 chance partners under each of its 64 keys: six a key among 6 million
+distinct fingerprints, where a task's join still costs about what its index rows do, and 100 a key, which is 6,400 comparisons a
+fingerprint, among 100 million. Beyond that the comparisons, which need no shuffle, outweigh the rest.
+
+Nulls: a null text counts as empty. Ties don't arise: a bit that is set in exactly half of the shingles is 0. Very long texts are added up
+65,536 shingles at a time. Repeated rows are nodes of one fingerprint. Extra columns are left out. An empty table gives an empty one.
+
 ``similar_groups`` links texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more: six fingerprints,
 independently mixed, propose pairs through the same keys (any segment that differs by at most one bit), and exact sets decide.
 """
@@ -19,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.plans.components import connected_components
-from strandloom.plans.lineage import stored
+from strandloom.plans.lineage import spread, stored
 
 BITS, SHINGLE, SEED = 4, 4, 42
 #: First bit and width of the three segments.
@@ -82,7 +89,7 @@ def segment_links(fps: DataFrame, bits: int, apart: tuple[str, ...] = ()) -> Dat
         segment = F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
         for p in range(width):
             keys.append(segment.bitwiseAND(F.lit(~(1 << p)).cast("long")) + F.lit((at + p) << 22).cast("long"))
-    index = fps.select("fp", *apart, F.explode(F.array(*keys)).alias("key"))
+    index = spread(fps, "fp").select("fp", *apart, F.explode(F.array(*keys)).alias("key"))
     a, b = index.alias("a"), index.alias("b")
     differ = "(a.fp ^ b.fp)"
     masks = [((1 << w) - 1) << at for at, w in SEGMENTS]
