@@ -2,7 +2,7 @@
 
 Every stage is a function (spark, docs, sf_dir) -> DataFrame over all rows its predecessor kept. All but the last return
 the columns of docs; a stage that changes a text sets n_chars, where there is one, to the new length. run() writes
-each stage's rows as Parquet in the session's shared folder and reads them again for the next.
+each stage's rows as Parquet in the session's shared folder, reads them again for the next and deletes what the stage stored on its way.
 """
 
 from __future__ import annotations
@@ -30,7 +30,10 @@ def _as_documents(changed: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that the rule ensemble, fitted to labels of sf_dir outside the held-out third, predicts as good."""
+    """Keeps the documents that the rule ensemble, fitted to labels of sf_dir outside the held-out third, predicts as good.
+
+    Null texts are judged as empty; a score of exactly 0.5 keeps; equal rows are judged alike.
+    """
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality", learn=~is_held_out())
     names = {c: f"__kept_{i}" for i, c in enumerate(docs.columns)}
     renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
@@ -40,7 +43,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes out lines with an equal or near-equal earlier one."""
+    """Takes out lines with an equal or near-equal earlier one; a null text stays null, equal rows lose the same lines."""
     return _as_documents(line_dedup(docs), docs.columns)
 
 
@@ -56,7 +59,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes out repeated passages; a document that is all repeats stays with an empty text."""
+    """Takes out repeated passages; a document that is all repeats stays with an empty text, a null one stays null, equal rows lose the same."""
     return _as_documents(substring_dedup(docs), docs.columns)
 
 

@@ -7,7 +7,9 @@ follows another character, and around line feeds), a worker merges each distinct
 ids are projected to spans of source bytes. Spans of one text lie in a row: a character that the map drops, or
 white space that is removed, belongs to no piece.
 
-Null texts count as empty and give no ids. Ids may be null or repeat; other columns are left out.
+Null texts count as empty and give no ids. Ids may be null or repeat; other columns are left out. Pairs of one score merge from the
+left. A text is one row whatever its length: its parts are merged in batches, an unbroken part of more than 2,000 characters by
+itself, rank by rank. An empty table gives an empty one.
 """
 
 from __future__ import annotations

@@ -6,7 +6,9 @@ zero; the rest are compiled into one Spark column expression, which is all that
 
 Fitting uses at most SAMPLE labelled rows, those with the least hash of their id; statistics are those of the
 rows themselves, so nothing else of the corpus enters the model. Null texts count as empty and are scored.
-Rows with a null id are scored and never learned from; extra columns are left out.
+Rows with a null id are scored and never learned from; extra columns are left out. Of several labels of one id the highest counts; of
+equal hashes the smaller id is sampled. Repeated rows are scored alike, and learned from once for each row. A very long text is one pass.
+An empty table gives an empty one, and no labels give the score 0.5.
 """
 
 from __future__ import annotations

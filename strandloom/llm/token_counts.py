@@ -3,7 +3,9 @@
 Texts are cut into white-space words; words a worker has not met are merged together in ragged numpy
 arrays, every sequence's lowest-ranked pair at once (``merges``), and the surviving symbols are counted.
 Null texts count as empty; nulls in the id column pass through; equal rows give equal rows; only the
-named id column is kept, so other columns cannot clash.
+named id column is kept, so other columns cannot clash. Pairs of one rank merge from the left. Texts are cut into words 2,000,000
+characters at a time, and an unbroken word of more than 2,000 bytes is merged by itself, rank by rank (``merges.merge_long``).
+An empty table gives an empty one.
 """
 
 from __future__ import annotations
