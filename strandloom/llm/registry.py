@@ -122,6 +122,16 @@ def op4_near_vectors(spark, d):
     return near_vectors(table(spark, d, "embeddings"))
 
 
+ORACLES["op4_near_vectors"] = """
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+low AS (SELECT a, min(b) AS low FROM reach GROUP BY a), n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, coalesce(low.low, vec_id) AS component_id, coalesce(low.low, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN low ON low.a = vec_id LEFT JOIN n ON n.a = vec_id"""
+
+
 @query
 def op9_repeated_spans(spark, d):
     out = repeated_spans(table(spark, d, "documents"))
