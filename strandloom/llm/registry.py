@@ -142,4 +142,6 @@ def op9_repeated_spans(spark, d):
         (size - F.octet_length("__kept")).alias("n_removed"),
         F.size("__spans").cast("long").alias("n_spans"),
         F.sha2("__kept", 256).alias("kept_sha256"),
+        # what stays, as text: a run may begin or end inside a character, whose other bytes then read as U+FFFD
+        F.when(F.size("__spans") == 0, F.col("text")).otherwise(F.make_valid_utf8(F.col("__kept").cast("string"))).alias("text"),
     )
