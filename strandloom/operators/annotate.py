@@ -136,13 +136,17 @@ def validity(score: Column, identity: Column, percent: Column, longest_intron: C
     return F.array_compact(F.array(*[F.when(F.coalesce(t, F.lit(False)), m) for t, m in tests]))
 
 
-def consensus_sites(left: Column, right: Column, strand: Column, minor: bool = True) -> Column:
-    """Whether an intron's first and last two bases are a known pair for its strand; minor allows AT-AC as well."""
+def consensus_pairs(minor: bool = True) -> tuple[list[tuple[str, str]], list[tuple[str, str]]]:
+    """The intron boundary pairs (left, right) of the forward strand, and of the reverse one; minor allows AT-AC as well."""
     # The intron boundary pairs on the forward strand.
     pairs = [("GT", "AG"), ("GC", "AG")] + [("AT", "AC")] * minor
     flip = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
-    plus = [F.struct(F.lit(a), F.lit(b)) for a, b in pairs]
-    minus = [F.struct(F.lit(flip(b)), F.lit(flip(a))) for a, b in pairs]
+    return pairs, [(flip(b), flip(a)) for a, b in pairs]
+
+
+def consensus_sites(left: Column, right: Column, strand: Column, minor: bool = True) -> Column:
+    """Whether an intron's first and last two bases are a known pair for its strand."""
+    plus, minus = ([F.struct(F.lit(a), F.lit(b)) for a, b in pairs] for pairs in consensus_pairs(minor))
     site = F.struct(F.upper(left), F.upper(right))
     return F.when(strand == "-", site.isin(*minus)).otherwise(site.isin(*plus))
 

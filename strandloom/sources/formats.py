@@ -80,6 +80,13 @@ def gtf_transcripts(rows: DataFrame) -> DataFrame:
     return g.groupBy("contig", "gene_id", "transcript_id", "strand").agg(F.min("lend").alias("lend"), F.max("rend").alias("rend"), F.array_sort(F.collect_list(F.struct("lend", "rend"))).alias("segments"))
 
 
+def gtf_genes(rows: DataFrame) -> DataFrame:
+    """(contig, gene_id, model_id, strand, exons, cds, start_codon, stop_codon): the parts of each transcript in genome order; cds leaves the stop codon out, as the format does."""
+    g = gtf(rows).where("transcript_id IS NOT NULL")
+    of = lambda kind, name: F.array_sort(F.collect_list(F.when(F.col("type") == kind, F.struct("lend", "rend")))).alias(name)
+    return g.groupBy("contig", "gene_id", F.col("transcript_id").alias("model_id"), "strand").agg(of("exon", "exons"), of("CDS", "cds"), of("start_codon", "start_codon"), of("stop_codon", "stop_codon"))
+
+
 def bed12(rows: DataFrame) -> DataFrame:
     """Coordinates become 1-based and closed."""
     f = fields(rows).where(~F.col("value").rlike("^(track|browser)"))

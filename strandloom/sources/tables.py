@@ -59,3 +59,54 @@ def transcripts(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
     iv = intervals_from_lineitem(spark, d, "l_orderkey")
     return iv.join(orders, iv["contig"] == orders["o_orderkey"]).select(F.col("o_custkey").alias("contig"), "id", "lend", "rend", "strand", "score")
+
+
+def sequences(spark: SparkSession, d: str) -> DataFrame:
+    """(contig, seq): the letters A, C, G, T of every document's whole text."""
+    from strandloom.functions.seq import bases_of
+
+    return table(spark, d, "documents").select(F.col("doc_id").alias("contig"), bases_of(F.col("text")).alias("seq"))
+
+
+def spliced_alignments(spark: SparkSession, d: str) -> DataFrame:
+    """(contig, acc, strand, segments, seq): two segments of each sequence of 80 bases or more, around a stretch between its quarters that begins and ends in a pair of sites.
+
+    By doc_id modulo 4 the pair is right for the strand, right for it, right for the other strand, and none. Every seventh has a gap in the transcript. seq
+    is the transcript's sequence; in every fifth the base before the stretch is N.
+    """
+    kind, n, q = F.col("contig") % 4, F.length("seq"), F.col("seq")
+    first, second = F.when(kind == 1, "CT").when(kind == 3, "TT").otherwise("GT"), F.when(kind == 1, "AC").when(kind == 3, "TT").otherwise("AG")
+    quarter, three = F.floor(n / 4).cast("int"), F.floor(3 * n / 4).cast("int")
+    rows = sequences(spark, d).where(n >= 80).withColumns({"strand": F.when(kind.isin(1, 2), "-").otherwise("+"), "n": n, "first": first, "second": F.reverse(second)})
+    a = F.expr("instr(substr(seq, n div 4 + 1), first)")
+    b = F.expr("instr(reverse(substr(seq, 1, 3 * n div 4)), second)")
+    rows = rows.withColumns({"x": a, "y": b}).where("x > 0 AND y > 0").withColumns({"a": (quarter + F.col("x")).cast("int"), "b": (three - F.col("y") + 1).cast("int")}).where("b >= a + 3")
+    s1, s2, plus, gap = F.col("a") - 1, F.col("n") - F.col("b"), F.col("strand") == "+", (F.col("contig") % 7 == 0).cast("int")
+    seg = lambda l, r, m1, m2: F.struct(l.cast("int").alias("lend"), r.cast("int").alias("rend"), m1.cast("int").alias("mlend"), m2.cast("int").alias("mrend"))
+    left = seg(F.lit(1), s1, F.when(plus, F.lit(1)).otherwise(s1 + s2 + gap), F.when(plus, s1).otherwise(s2 + 1 + gap))
+    right = seg(F.col("b") + 1, F.col("n"), F.when(plus, s1 + 1 + gap).otherwise(s2), F.when(plus, s1 + s2 + gap).otherwise(F.lit(1)))
+    odd = F.when(F.col("contig") % 5 == 0, F.concat(F.substring(q, F.lit(1), s1 - 1), F.lit("N"))).otherwise(F.substring(q, F.lit(1), s1))
+    spliced = F.concat(odd, F.substring(q, F.col("b") + 1, s2))
+    from strandloom.functions.seq import reverse_complement
+
+    return rows.select("contig", F.col("contig").alias("acc"), "strand", F.array(left, right).alias("segments"), F.when(plus, spliced).otherwise(reverse_complement(spliced)).alias("seq"))
+
+
+def gene_models(spark: SparkSession, d: str) -> DataFrame:
+    """(contig, gene_id, model_id, strand, exons, cds): the structures as models, their inner half coding; a gene is what an odd and the next even order make."""
+    from strandloom.operators.gene import clipped
+
+    rows = structures(spark, d).groupBy("contig", "acc", "strand").agg(F.array_sort(F.collect_list(F.struct("lend", "rend"))).alias("exons"))
+    lend, rend = F.get("exons", F.lit(0))["lend"], F.element_at("exons", -1)["rend"]
+    quarter = F.floor((rend - lend) / 4).cast("int")
+    gene = F.concat(F.lit("g"), F.floor(F.col("acc") / 2).cast("string"), F.lit("."), F.col("contig").cast("string"), F.col("strand"))
+    return rows.select("contig", gene.alias("gene_id"), F.concat(F.lit("m"), F.col("acc").cast("string")).alias("model_id"), "strand", "exons", clipped(F.col("exons"), lend + quarter, rend - quarter).alias("cds"))
+
+
+def contig_sequences(spark: SparkSession, d: str, least: int = 4000) -> DataFrame:
+    """(contig, seq) for every customer: a document's letters, repeated to `least` bases and more."""
+    docs = sequences(spark, d).withColumn("seq", F.when(F.col("seq") == "", "ACGT").otherwise(F.col("seq")))
+    n = docs.count()
+    whole = docs.select(F.col("contig").alias("doc"), F.repeat("seq", (F.lit(least) / F.length("seq")).cast("int") + 1).alias("seq"))
+    contigs = table(spark, d, "customer").select(F.col("c_custkey").alias("contig"))
+    return contigs.join(whole, F.col("contig") % n == F.col("doc")).select("contig", "seq")
