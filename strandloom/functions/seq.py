@@ -247,15 +247,18 @@ def protein_identity(a: str, b: str) -> float:
     return 100 * above[-1][1] / max(len(a), len(b))
 
 
-def frame_scores(rows: DataFrame, ratios: DataFrame, id_col: str, seq: str, k: int) -> DataFrame:
-    """(id_col, frame, score) for the frames 1-3 of the given strand: the sum of the log ratios of the k-mers, each at its place
-    modulo 3 in that frame; k-mers without a ratio count nothing."""
-    each = rows.select(id_col, F.posexplode(kmers(F.col(seq), k)).alias("at", "kmer"))
-    shifted = each.select(id_col, "kmer", "at", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("shift")).where("at >= shift")
-    placed = shifted.select(id_col, "kmer", (F.col("shift") + 1).alias("f"), ((F.col("at") - F.col("shift")) % 3).alias("frame"))
-    # occurrences are counted before the ratios come in
-    counted = placed.groupBy(id_col, "f", "frame", "kmer").agg(F.count("*").alias("n"))
-    scored = counted.join(ratios, ["frame", "kmer"]).groupBy(id_col, F.col("f").alias("frame")).agg(F.sum(F.col("n") * F.col("ratio")).alias("score"))
+def frame_scores(rows: DataFrame, ratios: DataFrame, id_col: str, seq: str, k: int, both: bool = False) -> DataFrame:
+    """(id_col, frame, score) for the frames 1-3 of the given strand, with `both` for 4-6 of the other one, too: the sum of the log ratios
+    of the k-mers, each at its place modulo 3 in that frame; k-mers without a ratio count nothing."""
+    each = rows.select(id_col, F.lit(0).alias("add"), F.posexplode(kmers(F.col(seq), k)).alias("at", "kmer"))
+    if both:
+        each = each.unionByName(rows.select(id_col, F.lit(3).alias("add"), F.posexplode(kmers(reverse_complement(F.col(seq)), k)).alias("at", "kmer")))
+    # occurrences are counted by their place modulo 3 before they are taken for each frame and before the ratios come in
+    counted = each.where("at < 3").select(id_col, "add", "kmer", "at", F.lit(1).alias("n")).unionByName(
+        each.where("at >= 3").groupBy(id_col, "add", "kmer", (F.col("at") % 3 + 3).alias("at")).agg(F.count("*").cast("int").alias("n")))
+    shifted = counted.select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("shift")).where("at >= shift")
+    placed = shifted.select(id_col, "kmer", "n", (F.col("add") + F.col("shift") + 1).alias("f"), ((F.col("at") - F.col("shift")) % 3).alias("frame"))
+    scored = placed.join(ratios, ["frame", "kmer"]).groupBy(id_col, F.col("f").alias("frame")).agg(F.sum(F.col("n") * F.col("ratio")).alias("score"))
     return scored
 
 

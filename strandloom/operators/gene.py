@@ -28,6 +28,16 @@ def clipped(exons: Column, lend: Column, rend: Column) -> Column:
     return F.coalesce(F.filter(parts, lambda e: e["lend"] <= e["rend"]), none())
 
 
+def joined(parts: Column) -> Column:
+    """parts in genome order, those that touch or overlap as one."""
+    def step(a: Column, e: Column) -> Column:
+        last = F.try_element_at(a, F.lit(-1))
+        grown = F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.array(_pair(last["lend"], F.greatest(last["rend"], e["rend"]))))
+        return F.when(F.coalesce(e["lend"] <= last["rend"] + 1, F.lit(False)), grown).otherwise(F.concat(a, F.array(_pair(e["lend"], e["rend"]))))
+
+    return F.aggregate(F.array_sort(parts), none(), step)
+
+
 def size(parts: Column) -> Column:
     """Bases in all parts."""
     return F.aggregate(parts, F.lit(0), lambda a, e: a + e["rend"] - e["lend"] + 1)
