@@ -11,7 +11,7 @@ is the other with a character deleted. Variants are hashed keys, so
   with the bucket's earliest member only, never with all;
 * insertions pair the whole line with those that have it as a variant.
 
-Pairs are then verified by ``levenshtein``. Variants are only emitted for lines that can have a partner at all: of two
+Pairs are then verified: equal before and behind the window, and within one edit inside it by ``levenshtein``. Variants are only emitted for lines that can have a partner at all: of two
 lines within one edit, with m characters in the shorter, either the first or the last m div 2 characters are equal
 (the edit lies beyond the one or the other half), so a distinct line that shares none of its four keys (side, m, half),
 with m its own length or one less, has no partner. What is left is within one edit as well, so the same holds again inside
@@ -62,10 +62,10 @@ def _half_keys() -> list[Column]:
 
 
 def _deep_parts() -> Column:
-    """array<struct<key, m, window>>: every way to halve DEPTH times what a window and its partner need not share.
+    """array<struct<key, m, a, b, window>>: every way to halve DEPTH times what a window and its partner need not share.
 
-    m is what the shorter of the two windows holds; a characters at the front and b at the back are in common, which
-    key says together with what the rounds before found; what is left is the next window.
+    m is what the shorter of the two windows holds; so many characters of the line as a and b say are in common at the front and the back,
+    which key says together with what the rounds before found; what is left is the next window.
     """
     def cut(c: Column) -> Column:
         halves, left = [], F.col("m")
@@ -80,7 +80,8 @@ def _deep_parts() -> Column:
     def part(n: Column) -> Column:
         key = F.xxhash64("key", "m", n["a"], F.left(F.col("window"), n["a"]), n["b"], F.right(F.col("window"), n["b"]))
         rest = F.substring(F.col("window"), n["a"] + 1, F.length("window") - n["a"] - n["b"])
-        return F.struct(key.alias("key"), (F.col("m") - n["a"] - n["b"]).cast("int").alias("m"), rest.alias("window"))
+        ends = [(F.col(c) + n[c]).cast("int").alias(c) for c in "ab"]
+        return F.struct(key.alias("key"), (F.col("m") - n["a"] - n["b"]).cast("int").alias("m"), *ends, rest.alias("window"))
 
     return F.transform(F.transform(F.sequence(F.lit(0), F.lit(2**DEPTH - 1)), cut), part)
 
@@ -93,16 +94,16 @@ def _sharing(keyed: DataFrame) -> DataFrame:
 
 
 def _narrowed(texts: DataFrame) -> DataFrame:
-    """(me, key, window): the parts of lines that may differ from a partner's, of at most WINDOW characters and one."""
+    """(me, key, a, b, window): the parts of lines, behind a characters and before b, that may differ from a partner's, of at most WINDOW characters and one."""
     me = F.struct("pos", "h1", "h2").alias("me")
     lengths = F.explode(F.array(F.length("line"), F.length("line") - 1)).alias("m")
-    todo = spread(texts, "h1", "h2").select(me, F.lit(0).cast("long").alias("key"), lengths, F.col("line").alias("window"))
+    todo = spread(texts, "h1", "h2").select(me, F.lit(0).cast("long").alias("key"), lengths, F.lit(0).alias("a"), F.lit(0).alias("b"), F.col("line").alias("window"))
     done = None
     while True:
         parts = todo.select("me", F.explode(_deep_parts()).alias("p")).select("me", "p.*")
         shared = parts.groupBy("key").agg(F.min("me.h1").alias("lo"), F.max("me.h1").alias("hi")).where("lo <> hi").select("key")
         near = stored(parts.join(shared, "key", "left_semi"))
-        small = near.where(F.col("m") <= WINDOW).select("me", "key", "window")
+        small = near.where(F.col("m") <= WINDOW).select("me", "key", "a", "b", "window")
         done = small if done is None else done.unionByName(small)
         todo = near.where(F.col("m") > WINDOW)  # m is in the key, so partners go on together
         if todo.isEmpty():
@@ -122,20 +123,25 @@ def _near_earlier(first: DataFrame, rows: Rows) -> DataFrame:
         F.sequence(F.lit(1), F.length("window")),
         lambda p: F.struct(p.alias("place"), F.xxhash64("key", F.concat(F.substring(F.col("window"), F.lit(1), p - 1), F.substring(F.col("window"), p + 1, F.length("window")))).alias("rest")),
     )
-    variants = near.where("window <> ''").select("me", F.explode(rest).alias("v")).select("me", "v.place", "v.rest")
+    place = F.struct("a", "b").alias("at")
+    variants = near.where("window <> ''").select("me", place, F.explode(rest).alias("v")).select("me", "at", "v.place", "v.rest")
     earliest = variants.groupBy("place", "rest").agg(F.min("me").alias("other"), F.count("*").alias("n")).where("n > 1").drop("n")
-    swapped = variants.join(earliest, ["place", "rest"]).where(F.col("me.pos") > F.col("other.pos")).select("me", "other")
+    swapped = variants.join(earliest, ["place", "rest"]).where(F.col("me.pos") > F.col("other.pos")).select("me", "other", "at")
     whole = near.select(F.col("me").alias("other"), F.xxhash64("key", "window").alias("rest"))
     grown = variants.join(whole, "rest")
-    grown = grown.select(F.greatest("me", "other").alias("me"), F.least("me", "other").alias("other"))
-    pairs = swapped.unionByName(grown).where("me.pos > other.pos").distinct()
+    grown = grown.select(F.greatest("me", "other").alias("me"), F.least("me", "other").alias("other"), "at")
+    # partners have their window at one place, which their key holds
+    pairs = swapped.unionByName(grown).where("me.pos > other.pos").groupBy("me", "other").agg(F.min("at").alias("at"))
     a = texts.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("line").alias("later"))
     b = texts.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("line").alias("earlier"))
+    front, back = F.col("at.a"), F.col("at.b")
+    inner = lambda c: F.substring(F.col(c), front + 1, F.length(c) - front - back)
+    equal = (F.left(F.col("later"), front) == F.left(F.col("earlier"), front)) & (F.right(F.col("later"), back) == F.right(F.col("earlier"), back))
     verified = (
-        pairs.select("me.h1", "me.h2", F.col("other.h1").alias("b1"), F.col("other.h2").alias("b2"))
+        pairs.select("me.h1", "me.h2", F.col("other.h1").alias("b1"), F.col("other.h2").alias("b2"), "at")
         .join(a, (F.col("h1") == F.col("a1")) & (F.col("h2") == F.col("a2")))
         .join(b, ["b1", "b2"])
-        .where(F.levenshtein("later", "earlier", 1) >= 0)
+        .where(equal & (F.levenshtein(inner("later"), inner("earlier"), 1) >= 0))
     )
     return verified.select("h1", "h2").distinct()
 
