@@ -15,7 +15,8 @@ Nulls: a null text counts as empty. Ties don't arise: a bit that is set in exact
 65,536 shingles at a time. Repeated rows are nodes of one fingerprint. Extra columns are left out. An empty table gives an empty one.
 
 ``similar_groups`` links texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more: six fingerprints,
-independently mixed, propose pairs through the same keys (any segment that differs by at most one bit), and exact sets decide.
+independently mixed, propose pairs through the same keys (any segment that differs by at most one bit); the next fingerprint tells
+chance partners apart inside the join, so what leaves it grows with the near copies there are; and exact sets decide.
 """
 
 from __future__ import annotations
@@ -79,17 +80,18 @@ def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
     return segment_links(fps, bits)
 
 
-def segment_links(fps: DataFrame, bits: int, apart: tuple[str, ...] = ()) -> DataFrame:
-    """(src, dst, and src_ and dst_ of the columns apart): pairs of 1..bits bits of which some segment differs by at most one.
+def segment_links(fps: DataFrame, bits: int, apart: tuple[str, ...] = (), also: tuple[str, ...] = ()) -> DataFrame:
+    """(src, dst, and src_ and dst_ of the columns apart and also): pairs of 1..bits bits of which some segment differs by at most one.
 
-    Columns named in apart hold a group's number or 0; two rows of the same group are no pair.
+    Columns named in apart hold a group's number or 0; two rows of the same group are no pair. Columns named in also are further
+    fingerprints, which may differ in as many bits: what meets by chance in the one is told apart by the others, inside the join.
     """
     keys = []
     for at, width in SEGMENTS:
         segment = F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
         for p in range(width):
             keys.append(segment.bitwiseAND(F.lit(~(1 << p)).cast("long")) + F.lit((at + p) << 22).cast("long"))
-    index = spread(fps, "fp").select("fp", *apart, F.explode(F.array(*keys)).alias("key"))
+    index = spread(fps, "fp").select("fp", *apart, *also, F.explode(F.array(*keys)).alias("key"))
     a, b = index.alias("a"), index.alias("b")
     differ = "(a.fp ^ b.fp)"
     masks = [((1 << w) - 1) << at for at, w in SEGMENTS]
@@ -103,7 +105,8 @@ def segment_links(fps: DataFrame, bits: int, apart: tuple[str, ...] = ()) -> Dat
         first.append(f"({inside}{earlier} AND (({differ} & {masks[s]}L) <> 0 OR {p} = {at}))")
     condition = f"a.key = b.key AND a.fp < b.fp AND bit_count({differ}) <= {bits} AND ({' OR '.join(first)})"
     condition += "".join(f" AND (a.{c} <> b.{c} OR a.{c} = 0)" for c in apart)
-    ends = [F.col(f"{t}.{c}").alias(f"{name}_{c}") for c in apart for t, name in (("a", "src"), ("b", "dst"))]
+    condition += "".join(f" AND bit_count(a.{c} ^ b.{c}) <= {bits}" for c in also)
+    ends = [F.col(f"{t}.{c}").alias(f"{name}_{c}") for c in (*apart, *also) for t, name in (("a", "src"), ("b", "dst"))]
     return a.join(b, F.expr(condition)).select(F.col("a.fp").alias("src"), F.col("b.fp").alias("dst"), *ends)
 
 
@@ -207,11 +210,11 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     group = F.coalesce(F.col("component"), F.lit(0)).alias("g")
     grouped = stored(nodes.join(found.withColumnRenamed("node", "__n"), F.expr("node = __n"), "left").select("node", group, *names))
     proposed = []
-    for c in names:
-        of = grouped.select("node", F.col(c).alias("fp"), "g")
-        pairs = segment_links(of.select("fp", "g").distinct(), REACH, ("g",))
+    for c, check in zip(names, names[1:] + names[:1]):
+        of = grouped.select("node", F.col(c).alias("fp"), F.col(check).alias("check"), "g")
+        pairs = segment_links(of.select("fp", "check", "g").distinct(), REACH, ("g",), ("check",))
         a, b = of.alias("x"), of.alias("y")
-        met = pairs.join(a, F.expr("src = x.fp AND src_g = x.g")).join(b, F.expr("dst = y.fp AND dst_g = y.g"))
+        met = pairs.join(a, F.expr("src = x.fp AND src_g = x.g AND src_check = x.check")).join(b, F.expr("dst = y.fp AND dst_g = y.g AND dst_check = y.check"))
         same = a.join(b, F.expr("x.fp = y.fp AND x.node < y.node AND (x.g <> y.g OR x.g = 0)"))
         ends = [F.least("x.node", "y.node").alias("src"), F.greatest("x.node", "y.node").alias("dst")]
         proposed.append(stored(met.select(*ends).unionByName(same.select(*ends)).distinct()))  # one by one: small plans, one index at a time
