@@ -117,7 +117,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, learn: Column | None
     ones, n = rows.agg(F.sum("__label"), F.count("*")).first()
     if not n or ones in (0, n):
         return RuleEnsemble(0.0 if not n else 6.0 if ones else -6.0, ())
-    rows = rows.select("__label", array_to_vector(F.array(*STATS)).alias("features"), *STATS)
+    # a bounded sample: few partitions, so that every round of the two fits is one small stage
+    rows = rows.select("__label", array_to_vector(F.array(*STATS)).alias("features"), *STATS).coalesce(4)
     forest = RandomForestClassifier(labelCol="__label", numTrees=trees, maxDepth=depth, maxBins=64, seed=seed).fit(rows)
     found: set[Rule] = set()
     for tree in forest.trees:
