@@ -59,10 +59,11 @@ def release(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
 
 
 def settled(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
-    """make()'s rows stored, and everything that it stored on its way deleted."""
+    """make()'s rows stored, and everything that it stored on its way deleted; the driver lets go of what planning it took."""
     since = mark()
     out = stored(make())
     release(spark, since, keep=1)
+    spark.sparkContext._jvm.System.gc()
     return out
 
 
