@@ -1,8 +1,9 @@
 """Interval operators over rows (contig, id, lend, rend, strand, score, ...).
 
 Coordinates are closed and lend <= rend. Windows are totally ordered by (lend, rend, id). Rows with a null contig or end take
-no part. Nothing here gathers a contig into one task: sweeps run inside coordinate bins and are stitched
-by a table of one row per bin.
+no part. Piles, spans, gaps and coverage gather no contig into one task: sweeps run inside coordinate bins and are stitched
+by a table of one row per bin. Chains of hits, depth and transcript coordinates are windows over a group's ordered rows (depth over its boundary
+positions, which are counted first); tiers and the artifact filter depend on the order of scores and run pile by pile.
 """
 
 from __future__ import annotations
@@ -137,20 +138,24 @@ def tiers(iv: DataFrame, by: tuple[str, ...] = ("contig",), most: int | None = N
 
     Greedy, so it runs group by group; a group is one pile, as features of different piles never meet.
     """
+    from bisect import bisect_left
+
     import pandas as pd
 
     def deal(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["score", "lend", "rend", "id"], ascending=[False, True, True, True], kind="stable", ignore_index=True)
-        rows: list[list[tuple[int, int]]] = []
+        rows: list[tuple[list[int], list[int]]] = []  # each tier's ends in order, as nothing in it overlaps
         number = []
-        for a, b in zip(pdf["lend"], pdf["rend"]):
-            for k, row in enumerate(rows):
-                if all(b < x or a > y for x, y in row):
+        for a, b in zip(pdf["lend"].tolist(), pdf["rend"].tolist()):
+            for k, (lends, rends) in enumerate(rows):
+                at = bisect_left(rends, a)
+                if at == len(rends) or lends[at] > b:
                     break
             else:
-                k = len(rows)
-                rows.append([])
-            rows[k].append((a, b))
+                k, at = len(rows), 0
+                rows.append(([], []))
+            rows[k][0].insert(at, a)
+            rows[k][1].insert(at, b)
             number.append(k + 1)
         return pdf.assign(tier=number)
 
@@ -167,16 +172,20 @@ def drop_artifacts(iv: DataFrame, by: tuple[str, ...] = ("contig", "strand"), ov
 
     def keep(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["score", "lend", "rend", "id"], ascending=[False, True, True, True], kind="stable", ignore_index=True)
-        kept: list[tuple[int, int, float]] = []
+        width = max(1, int((pdf["rend"] - pdf["lend"]).median()) + 1)
+        kept: dict[int, list[tuple[int, int, float]]] = {}  # by bins of a usual length
         stay = []
-        for a, b, s in zip(pdf["lend"], pdf["rend"], pdf["score"]):
+        for a, b, s in zip(pdf["lend"].tolist(), pdf["rend"].tolist(), pdf["score"].tolist()):
+            bins = range(a // width, b // width + 1)
             bad = any(
                 100 * (min(b, y) - max(a, x) + 1) >= overlap * (min(b - a, y - x) + 1) and min(b, y) >= max(a, x) and 100 * s < share * t
-                for x, y, t in kept
+                for k in bins
+                for x, y, t in kept.get(k, ())
             )
             stay.append(not bad)
             if not bad:
-                kept.append((a, b, s))
+                for k in bins:
+                    kept.setdefault(k, []).append((a, b, s))
         return pdf[stay]
 
     piled = piles(iv, by)

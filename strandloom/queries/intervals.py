@@ -163,17 +163,29 @@ def surrogate_ids(spark, d):
     return numbered(iv.piles(intervals_from_lineitem(spark, d, "l_partkey")).select("contig", "pile").distinct(), ("contig", "pile"), F.col("contig") % 16, 16, 1000)
 
 
-@query()
+def _greedy(by: str, step: str) -> str:
+    """g(by, pile, row): each pile's rows by score, folded by `step` from the list `a` of what is placed and the next row `x`."""
+    return f"""WITH {BY_PART}, {pile_sql(by=by)}, l AS (SELECT {by}, pile, list([{{'id': id, 'a': lend, 'b': rend, 's': CAST(score AS DOUBLE), 't': 1}}] ORDER BY score DESC, lend, rend, id) AS xs FROM piled GROUP BY {by}, pile),
+g AS (SELECT {by}, unnest(list_reduce(xs, lambda a, x: {step})) AS row FROM l)"""
+
+
+# the first tier in which nothing placed overlaps
+_TIER = """list_append(a, {'id': x[1].id, 'a': x[1].a, 'b': x[1].b, 's': x[1].s, 't': CAST(list_min(list_filter(range(1, len(a) + 2),
+  lambda t: len(list_filter(a, lambda p: p.t = t AND p.a <= x[1].b AND p.b >= x[1].a)) = 0)) AS INT)})"""
+
+
+@query(_greedy("contig", _TIER) + " SELECT contig, row.id AS id, row.t AS tier FROM g")
 def tiers(spark, d):
     return iv.tiers(intervals_from_lineitem(spark, d, "l_partkey")).select("contig", "id", "tier")
 
 
-@query()
+@query(_greedy("contig, strand", _TIER) + " SELECT contig, strand, row.id AS id, row.t AS tier FROM g WHERE row.t <= 2")
 def tiered_hits(spark, d):
     return iv.tiers(intervals_from_lineitem(spark, d, "l_partkey"), ("contig", "strand"), most=2).select("contig", "strand", "id", "tier")
 
 
-@query()
+@query(_greedy("contig, strand", """CASE WHEN len(list_filter(a, lambda p: p.a <= x[1].b AND p.b >= x[1].a AND 100 * x[1].s < 10.0 * p.s
+  AND 100 * (least(p.b, x[1].b) - greatest(p.a, x[1].a) + 1) >= 10.0 * (least(p.b - p.a, x[1].b - x[1].a) + 1))) > 0 THEN a ELSE list_concat(a, x) END""") + " SELECT contig, strand, row.id AS id, row.s AS score FROM g")
 def artifact_filter(spark, d):
     return iv.drop_artifacts(intervals_from_lineitem(spark, d, "l_partkey")).select("contig", "strand", "id", "score")
 

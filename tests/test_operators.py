@@ -129,6 +129,41 @@ def test_chain_is_best_set():
     assert assemble.best_chain([(1, 2, -5)], lambda r: r[2], lambda p, q: True) == []
 
 
+def test_best_set_against_all_sets():
+    rng = random.Random(6)
+    for _ in range(60):
+        items = sorted(((a := rng.randrange(30), a + rng.randrange(8), float(rng.randrange(-2, 9))) for _ in range(8)), key=lambda x: (x[1], x[0]))
+        got = assemble.best_set(*map(list, zip(*items)))
+        assert all(items[i][1] < items[j][0] for i, j in itertools.pairwise(got))
+        fits = [s for k in range(9) for s in itertools.combinations(range(8), k) if all(items[i][1] < items[j][0] for i, j in itertools.pairwise(s))]
+        assert sum(items[i][2] for i in got) == max(sum(items[i][2] for i in s) for s in fits)
+
+
+def test_artifacts_against_all_pairs(spark):
+    rng = random.Random(7)
+    spans = [(a := rng.randrange(300), a + rng.choice([0, 4, 30, 120])) for _ in range(150)]
+    data = [(1, i, a, b, "+", rng.choice([1.0, 5.0, 60.0, 700.0])) for i, (a, b) in enumerate(spans)]
+    kept = []
+    for r in sorted(data, key=lambda r: (-r[5], r[2], r[3], r[1])):
+        over = lambda k, r=r: min(r[3], k[3]) - max(r[2], k[2]) + 1
+        if not any(over(k) > 0 and 100 * over(k) >= 10 * (min(r[3] - r[2], k[3] - k[2]) + 1) and 100 * r[5] < 10 * k[5] for k in kept):
+            kept.append(r)
+    got = {r.id for r in iv.drop_artifacts(spark.createDataFrame(data, SCHEMA)).collect()}
+    assert got == {r[1] for r in kept} and len(got) < 150
+
+
+def test_low_complexity_against_its_rule(spark):
+    rng = random.Random(8)
+    texts = ["A" * 70, "ACGT" * 40, "".join(rng.choice("ACGT") for _ in range(300)), "ACACACACAC" * 9 + "".join(rng.choice("ACGT") for _ in range(90)), "", "AC"]
+    for t, r in zip(texts, spark.createDataFrame([(t,) for t in texts], "s string").select(seq.low_complexity(F.col("s")).alias("m")).collect()):
+        hidden = set()
+        for a in range(0, max(1, len(t) - 2), 32):
+            triplets = [t[i : i + 3] for i in range(a, min(a + 64, len(t)) - 2)]
+            if len(triplets) > 1 and 10 * sum(triplets.count(x) * (triplets.count(x) - 1) / 2 for x in set(triplets)) / (len(triplets) - 1) > 20:
+                hidden |= set(range(a, min(a + 64, len(t))))
+        assert r.m == "".join("N" if i in hidden else c for i, c in enumerate(t))
+
+
 def test_tiers_never_overlap(spark):
     rng = random.Random(4)
     spans = [(a := rng.randrange(80), a + rng.randrange(15)) for _ in range(60)]
