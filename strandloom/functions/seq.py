@@ -233,18 +233,20 @@ def cigar_blocks(cigar: Column, pos: Column) -> Column:
 
 
 def protein_identity(a: str, b: str) -> float:
-    """Percent of identical columns of a global alignment (match 2, mismatch -1, gap -2), over the longer sequence."""
+    """Percent of identical columns of a global alignment (match 2, mismatch -1, gap -2; of equal scores the one of most identical columns), over the longer sequence."""
+    import numpy as np
+
     if not a or not b:
         return 0.0
-    above = [(-2 * j, 0) for j in range(len(b) + 1)]
+    one = 1 << 24  # a score's unit, above the count of identical columns
+    y = np.frombuffer(b.encode("utf-32-le"), "<u4")
+    gaps = 2 * one * np.arange(len(b) + 1)
+    row = -gaps
     for i, x in enumerate(a, 1):
-        row = [(-2 * i, 0)]
-        for j, y in enumerate(b, 1):
-            s, k = above[j - 1]
-            best = max((s + (2 if x == y else -1), k + (x == y)), (above[j][0] - 2, above[j][1]), (row[-1][0] - 2, row[-1][1]))
-            row.append(best)
-        above = row
-    return 100 * above[-1][1] / max(len(a), len(b))
+        new = row - 2 * one
+        new[1:] = np.maximum(new[1:], row[:-1] + np.where(y == ord(x), 2 * one + 1, -one))
+        row = np.maximum.accumulate(new + gaps) - gaps  # a gap in a: from the best cell on the left
+    return 100 * int(row[-1] & (one - 1)) / max(len(a), len(b))
 
 
 def frame_scores(rows: DataFrame, ratios: DataFrame, id_col: str, seq: str, k: int, both: bool = False) -> DataFrame:

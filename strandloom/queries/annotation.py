@@ -155,3 +155,33 @@ def sites_to_genes(spark, d):
     met = overlap_join(s, genes(spark, d), an.KEY)
     names = F.array_join(F.array_sort(F.collect_set(F.col("b_id").cast("string"))), ",")
     return met.groupBy("contig", F.col("lend").alias("site"), "strand").agg(names.alias("genes"))
+
+
+def coded(spark, d):
+    """The structures as (contig, acc, strand, exons, cds, protein, cdna): coding what the longest open frame of their sequence says, on its strand."""
+    from strandloom.operators import gene
+    from strandloom.sources.tables import contig_sequences, gene_models
+
+    m = gene.with_sequences(gene_models(spark, d), contig_sequences(spark, d)).withColumn("acc", F.substring("model_id", 2, 20).cast("long"))
+    o = m.withColumn("o", F.get(seq.orfs(F.col("cdna"), 30), F.lit(0))).where("o IS NOT NULL").select("contig", "acc", "strand", "exons", "cdna", F.col("o.lend").alias("o_lend"), F.col("o.rend").alias("o_rend"), F.col("o.strand").alias("o_strand"))
+    part = F.substring("cdna", F.col("o_lend"), F.col("o_rend") - F.col("o_lend") + 1)
+    frame = F.when(F.col("o_strand") == "-", seq.reverse_complement(part)).otherwise(part)
+    return gene.project(o.withColumn("protein", seq.translate(frame))).select("contig", "acc", "strand", "exons", "cds", "protein", "cdna")
+
+
+@query()
+def assembly_gene_models(spark, d):
+    c = coded(spark, d)
+    return c.select("contig", "acc", "strand", F.size("cds").alias("parts"), "protein")
+
+
+@query()
+def full_length_cascade(spark, d):
+    """Odd structures against the even ones as models; neighbours of one strand are a gene."""
+    from strandloom.operators.cascade import full_length_statuses
+    from strandloom.plans.lineage import stored
+
+    rows = stored(coded(spark, d))
+    gene_id = F.concat(F.lit("g"), F.floor(F.col("acc") / 200).cast("string"))
+    models = rows.where("acc % 2 = 0").select("contig", gene_id.alias("gene_id"), F.concat(F.lit("m"), F.lpad(F.col("acc").cast("string"), 12, "0")).alias("model_id"), "strand", "exons", "cds", "protein")
+    return full_length_statuses(rows.where("acc % 2 = 1"), models, least_coding=20.0)
