@@ -8,6 +8,8 @@ positions, which are counted first); tiers and the artifact filter depend on the
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ from strandloom.plans.ranges import overlap_join
 
 BIN = 100_000
 FIRST = Window.unboundedPreceding
+#: Best score first, in a total order.
+BEST = (F.desc, "score"), (F.asc, "lend"), (F.asc, "rend"), (F.asc, "id")
 
 
 def overlap_length(a1: Column, a2: Column, b1: Column, b2: Column) -> Column:
@@ -133,60 +137,98 @@ def covered(a: DataFrame, b: DataFrame, by: tuple[str, ...] = ("contig",), width
     return total.join(shared, list(by), "left").select(*by, "size", F.coalesce("shared", F.lit(0)).cast("long").alias("shared"))
 
 
+def by_pile(piled: DataFrame, by: tuple[str, ...], order: tuple[tuple[Callable, str], ...], solve: Callable, schema) -> DataFrame:
+    """solve(rows, starts) over whole piles, whose rows come in `order`; starts are where each of them begins.
+
+    Piles are dealt by their number and stream through the tasks, so many small ones cost no group each, and a task holds no more than the
+    largest one and a batch.
+    """
+    key = [*by, "pile"]
+
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+
+        held: list = []  # parts of the pile that the last batch ended in
+
+        def whole(parts):
+            rows = pd.concat(parts, ignore_index=True)
+            codes = rows[key].ne(rows[key].shift()).any(axis=1).to_numpy()
+            return solve(rows, np.flatnonzero(codes).tolist())
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            last = (batch[key] == batch[key].iloc[-1]).all(axis=1).to_numpy()
+            at = len(batch) - int(np.argmin(last[::-1])) if not last.all() else 0
+            if at or held and not (held[-1][key].iloc[-1] == batch[key].iloc[0]).all():
+                yield whole([*held, batch[:at]])
+                held = []
+            held.append(batch[at:])
+        if held:
+            yield whole(held)
+
+    return piled.where(" AND ".join(f"`{c}` IS NOT NULL" for c in key)).repartition(*key).sortWithinPartitions(*key, *[f(c) for f, c in order]).mapInPandas(run, schema)
+
+
 def tiers(iv: DataFrame, by: tuple[str, ...] = ("contig",), most: int | None = None) -> DataFrame:
     """Adds tier: features by score (best first) each go to the first tier where they overlap nothing; beyond `most` they are dropped.
 
     Greedy, so it runs group by group; a group is one pile, as features of different piles never meet.
     """
     from bisect import bisect_left
+    from itertools import pairwise
 
     import pandas as pd
 
-    def deal(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["score", "lend", "rend", "id"], ascending=[False, True, True, True], kind="stable", ignore_index=True)
-        rows: list[tuple[list[int], list[int]]] = []  # each tier's ends in order, as nothing in it overlaps
+    def deal(pdf: pd.DataFrame, starts: list[int]) -> pd.DataFrame:
         number = []
-        for a, b in zip(pdf["lend"].tolist(), pdf["rend"].tolist()):
-            for k, (lends, rends) in enumerate(rows):
-                at = bisect_left(rends, a)
-                if at == len(rends) or lends[at] > b:
-                    break
-            else:
-                k, at = len(rows), 0
-                rows.append(([], []))
-            rows[k][0].insert(at, a)
-            rows[k][1].insert(at, b)
-            number.append(k + 1)
+        for begin, end in pairwise([*starts, len(pdf)]):
+            rows: list[tuple[list[int], list[int]]] = []  # each tier's ends in order, as nothing in it overlaps
+            for a, b in zip(pdf["lend"][begin:end].tolist(), pdf["rend"][begin:end].tolist()):
+                for k, (lends, rends) in enumerate(rows):
+                    at = bisect_left(rends, a)
+                    if at == len(rends) or lends[at] > b:
+                        break
+                else:
+                    k, at = len(rows), 0
+                    rows.append(([], []))
+                rows[k][0].insert(at, a)
+                rows[k][1].insert(at, b)
+                number.append(k + 1)
         return pdf.assign(tier=number)
 
     piled = piles(iv, by)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in piled.schema) + ", tier int"
-    out = piled.groupBy(*by, "pile").applyInPandas(deal, schema).drop("pile")
+    out = by_pile(piled, by, BEST, deal, schema).drop("pile")
     return out if most is None else out.where(F.col("tier") <= most)
 
 
 def drop_artifacts(iv: DataFrame, by: tuple[str, ...] = ("contig", "strand"), overlap: float = 10.0, share: float = 10.0) -> DataFrame:
     """Keeps intervals, best score first within a pile, unless a kept one overlaps them by `overlap` percent of the
     shorter and their score is below `share` percent of its."""
+    from itertools import pairwise
+
     import pandas as pd
 
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["score", "lend", "rend", "id"], ascending=[False, True, True, True], kind="stable", ignore_index=True)
-        width = max(1, int((pdf["rend"] - pdf["lend"]).median()) + 1)
-        kept: dict[int, list[tuple[int, int, float]]] = {}  # by bins of a usual length
+    def keep(pdf: pd.DataFrame, starts: list[int]) -> pd.DataFrame:
         stay = []
-        for a, b, s in zip(pdf["lend"].tolist(), pdf["rend"].tolist(), pdf["score"].tolist()):
-            bins = range(a // width, b // width + 1)
-            bad = any(
-                100 * (min(b, y) - max(a, x) + 1) >= overlap * (min(b - a, y - x) + 1) and min(b, y) >= max(a, x) and 100 * s < share * t
-                for k in bins
-                for x, y, t in kept.get(k, ())
-            )
-            stay.append(not bad)
-            if not bad:
-                for k in bins:
-                    kept.setdefault(k, []).append((a, b, s))
+        for begin, end in pairwise([*starts, len(pdf)]):
+            lend, rend, score = (pdf[c][begin:end].tolist() for c in ("lend", "rend", "score"))
+            width = max(1, sorted(map(int.__sub__, rend, lend))[len(lend) // 2] + 1)
+            kept: dict[int, list[tuple[int, int, float]]] = {}  # by bins of a usual length
+            for a, b, s in zip(lend, rend, score):
+                bins = range(a // width, b // width + 1)
+                bad = any(
+                    100 * (min(b, y) - max(a, x) + 1) >= overlap * (min(b - a, y - x) + 1) and min(b, y) >= max(a, x) and 100 * s < share * t
+                    for k in bins
+                    for x, y, t in kept.get(k, ())
+                )
+                stay.append(not bad)
+                if not bad:
+                    for k in bins:
+                        kept.setdefault(k, []).append((a, b, s))
         return pdf[stay]
 
     piled = piles(iv, by)
-    return piled.groupBy(*by, "pile").applyInPandas(keep, piled.schema).drop("pile")
+    return by_pile(piled, by, BEST, keep, piled.schema).drop("pile")
