@@ -3,8 +3,9 @@
 Vectors are dealt into shards by a hash of their id; every shard builds one hierarchy (``hnsw``). Every vector queries
 every shard, in blocks that stream past the shard's index; beams widen for queries whose beam is full of links, and
 for whole classes of queries until an audit against the full shard passes. Links found are verified by the cosine in double precision.
-A shard holds at most about SHARD_ROWS vectors and SHARD_BYTES of them, so there are as many shards as the table asks for and no
-task or row grows with it; as many streams read each of them as the session has tasks for.
+A shard holds at most about SHARD_ROWS vectors and SHARD_BYTES of them, so there are as many shards as the table asks for, LEAST at
+least, and no task or row grows with it; as many streams read each of them as the session has tasks for. As every vector asks every shard, the
+work grows with the number of vectors times that of shards: in proportion to the table up to LEAST * SHARD_ROWS vectors, with its square beyond.
 
 No list of all pairs is made. A block of queries gives each query's number of links in the shard, and for the components the
 links of each of its own small components to that component's least vector, which joins the same vectors: at most one row
@@ -28,8 +29,8 @@ from strandloom.llm.topk import usable
 from strandloom.plans.components import connected_components
 from strandloom.plans.lineage import stored
 
-#: Vectors of a shard, and bytes of its vectors, at most (about: they are dealt by a hash); queries of a block.
-SHARD_ROWS, SHARD_BYTES, BLOCK = 16_384, 64 << 20, 512
+#: Vectors of a shard, and bytes of its vectors, at most (about: they are dealt by a hash); shards of a small table; queries of a block.
+SHARD_ROWS, SHARD_BYTES, LEAST, BLOCK = 50_000, 64 << 20, 8, 512
 
 
 def unit(v: np.ndarray) -> np.ndarray:
@@ -39,7 +40,7 @@ def unit(v: np.ndarray) -> np.ndarray:
 def shards_for(nodes: DataFrame) -> int:
     """How many shards hold nodes (v) within the bounds of one."""
     n, size = nodes.agg(F.count("*"), F.coalesce(F.sum(8 * F.size("v")), F.lit(0))).first()
-    return max(1, -(-n // SHARD_ROWS), -(-size // SHARD_BYTES))
+    return max(LEAST, -(-n // SHARD_ROWS), -(-size // SHARD_BYTES))
 
 
 def roots_of(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
