@@ -143,6 +143,16 @@ def selected_orfs(scores: DataFrame, by: str, length: Column, retain: int, suppo
     return got.where("supported OR length >= " + str(retain) + " OR own > 0 AND own > coalesce(other, own - 1)").select(by, "own", "other", "length")
 
 
+def training_set(coded: DataFrame, ratios: DataFrame, k: int, retain: int, by: str = "acc") -> DataFrame:
+    """The structures (acc, cds, cdna, coding) whose coding sequence is long enough or scores best in its own frame by the k-mer log ratios: examples to train on."""
+    from strandloom.functions.seq import frame_scores
+
+    scores = frame_scores(coded, ratios, by, "coding", k, both=True)
+    lengths = coded.select(by, F.length("coding").alias("__n"))
+    kept = selected_orfs(scores.join(lengths, by), by, F.col("__n"), retain)
+    return coded.join(kept.select(by, "own", "other"), by)
+
+
 def _attributes(**pairs: Column) -> Column:
     return F.concat_ws(";", *[F.concat(F.lit(f"{k}="), v.cast("string")) for k, v in pairs.items()])
 

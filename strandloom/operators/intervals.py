@@ -171,10 +171,11 @@ def by_pile(piled: DataFrame, by: tuple[str, ...], order: tuple[tuple[Callable,
     return piled.where(" AND ".join(f"`{c}` IS NOT NULL" for c in key)).repartition(*key).sortWithinPartitions(*key, *[f(c) for f, c in order]).mapInPandas(run, schema)
 
 
-def tiers(iv: DataFrame, by: tuple[str, ...] = ("contig",), most: int | None = None) -> DataFrame:
+def tiers(iv: DataFrame, by: tuple[str, ...] = ("contig",), most: int | None = None, overlaps: Callable | None = None) -> DataFrame:
     """Adds tier: features by score (best first) each go to the first tier where they overlap nothing; beyond `most` they are dropped.
 
-    Greedy, so it runs group by group; a group is one pile, as features of different piles never meet.
+    Greedy, so it runs group by group; a group is one pile, as features of different piles never meet. overlaps(a, b) may say in place of
+    the usual rule whether two (lend, rend) of a pile keep each other out of a tier; it is then asked for every feature of a tier.
     """
     from bisect import bisect_left
     from itertools import pairwise
@@ -188,7 +189,7 @@ def tiers(iv: DataFrame, by: tuple[str, ...] = ("contig",), most: int | None = N
             for a, b in zip(pdf["lend"][begin:end].tolist(), pdf["rend"][begin:end].tolist()):
                 for k, (lends, rends) in enumerate(rows):
                     at = bisect_left(rends, a)
-                    if at == len(rends) or lends[at] > b:
+                    if at == len(rends) or lends[at] > b if overlaps is None else not any(overlaps((a, b), x) for x in zip(lends, rends)):
                         break
                 else:
                     k, at = len(rows), 0

@@ -128,3 +128,8 @@ def strand_from_tails(alignments: DataFrame, sites: DataFrame) -> DataFrame:
     """alignments with the strand that a poly-A site (acc, strand) of their transcript says, where theirs is unknown; the site's strands must agree."""
     known = sites.groupBy("acc").agg(F.min("strand").alias("__s"), F.countDistinct("strand").alias("__n")).where("__n = 1").drop("__n")
     return alignments.join(known, "acc", "left").withColumn("strand", F.when(F.col("strand") == "?", F.coalesce("__s", "strand")).otherwise(F.col("strand"))).drop("__s")
+
+
+def with_aligned_strand(alignments: DataFrame) -> DataFrame:
+    """alignments whose spliced strand is the aligned one, for transcripts that were sequenced by strand."""
+    return alignments.withColumn("spliced_strand", F.col("strand"))

@@ -175,6 +175,19 @@ def assembly_gene_models(spark, d):
     return c.select("contig", "acc", "strand", F.size("cds").alias("parts"), "protein")
 
 
+@query()
+def training_set(spark, d):
+    """Coding sequences of the structures that score best in their own frame, by the trimers of all of them against those of the contigs."""
+    from strandloom.operators import gene
+    from strandloom.plans.lineage import stored
+    from strandloom.sources.tables import contig_sequences
+
+    c = stored(coded(spark, d)).join(contig_sequences(spark, d), "contig").withColumn("coding", seq.spliced(F.col("seq"), F.col("cds"), F.col("strand"))).drop("seq")
+    c = stored(c)
+    ratios = seq.log_ratios(seq.framed_kmers(c, "coding", 3), seq.framed_kmers(contig_sequences(spark, d), "seq", 3), 3)
+    return gene.training_set(c, ratios, 3, 60).select("contig", "acc", "coding", F.round("own", 5).alias("own"))
+
+
 @query()
 def full_length_cascade(spark, d):
     """Odd structures against the even ones as models; neighbours of one strand are a gene."""

@@ -206,3 +206,21 @@ def test_strand_and_lone_segments(spark):
     assert {r.acc: r.strand for r in validate.strand_from_tails(al, sites).collect()} == {"a": "-", "b": "?", "f": "+"}
     full = spark.createDataFrame([("f",), ("f",)], "acc string")
     assert {r.acc: r.valid for r in validate.without_lone_segments(al, full).collect()} == {"a": False, "b": False, "f": True}
+
+
+def test_tiers_take_a_rule_of_their_own(spark):
+    from strandloom.operators import intervals
+
+    rows = [(1, 0, 1, 10, 9.0), (1, 1, 8, 20, 8.0), (1, 2, 9, 11, 7.0)]
+    df = spark.createDataFrame(rows, "contig int, id long, lend int, rend int, score double")
+    loose = intervals.tiers(df, overlaps=lambda a, b: min(a[1], b[1]) - max(a[0], b[0]) + 1 > 3)
+    assert {r.id: r.tier for r in loose.collect()} == {0: 1, 1: 1, 2: 1}
+    assert {r.id: r.tier for r in intervals.tiers(df).collect()} == {0: 1, 1: 2, 2: 3}
+
+
+def test_training_set(spark):
+    good, bad = "ATG" + "GCA" * 30 + "TAA", "ATGCC"
+    df = spark.createDataFrame([(1, good), (2, bad)], "acc int, coding string")
+    ratios = spark.createDataFrame([(0, "GCA", 1.0), (1, "CAG", -0.5), (2, "AGC", -0.5)], "frame int, kmer string, ratio double")
+    got = {r.acc: (r.own, r.other) for r in gene.training_set(df, ratios, 3, 1000).collect()}
+    assert list(got) == [1] and got[1][0] > 0 >= (got[1][1] or 0)
