@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 class _Made(threading.local):
@@ -72,4 +73,4 @@ def spread(df: DataFrame, *by: str | Column) -> DataFrame:
     which a small table would otherwise do in a task or two."""
     spark = df.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return df.repartition(n, *by)
+    return df.repartition(n, F.xxhash64(*by))  # of a hash: rows that an aggregation dealt by the same columns, and AQE joined into a task or two, move again
