@@ -30,6 +30,6 @@ def test_stored_is_released(spark):
     from strandloom.plans import lineage
 
     df = lineage.stored(spark.range(5))
-    at = lineage._STORED[-1].removeprefix("file:")
+    at = lineage._MADE.folders[-1].removeprefix("file:")
     assert df.count() == 5 and os.path.isdir(at)
     assert lineage.release(spark) >= 1 and not os.path.isdir(at)
