@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strandloom.llm.chunks import substring_dedup
 from strandloom.llm.lines import line_dedup
+from strandloom.llm.merkle import folded, leaf, manifest, siblings
 from strandloom.llm.packing import pack, token_pieces
 from strandloom.llm.pieces import encode
 from strandloom.llm.quality import fit, is_held_out, predict
@@ -145,3 +146,17 @@ def op9_repeated_spans(spark, d):
         # what stays, as text: a run may begin or end inside a character, whose other bytes then read as U+FFFD
         F.when(F.size("__spans") == 0, F.col("text")).otherwise(F.make_valid_utf8(F.col("__kept").cast("string"))).alias("text"),
     )
+
+
+@query
+def op12_manifest(spark, d):
+    docs = table(spark, d, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    changed = F.when(tampered, leaf(*[lowered if c == "text" else F.col(c) for c in fields]))
+    rows = manifest(docs, fields, carry={"changed": changed}).withColumn("folded_root", folded(F.coalesce("changed", "leaf"), F.col("steps")))
+    return rows.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(siblings(F.col("steps")), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
