@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strandloom.llm import likelihood
 from strandloom.llm.chunks import substring_dedup
 from strandloom.llm.lines import line_dedup
 from strandloom.llm.merkle import folded, leaf, manifest, siblings
 from strandloom.llm.packing import pack, token_pieces
+from strandloom.llm.phrases import collocations
 from strandloom.llm.pieces import encode
 from strandloom.llm.quality import fit, is_held_out, predict
 from strandloom.llm.simhash import near_groups
@@ -160,3 +162,36 @@ def op12_manifest(spark, d):
         F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(siblings(F.col("steps")), 256).alias("proof_sha256"),
         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+@query
+def op13_quality_rules(spark, d):
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    third = F.crc32(F.col("doc_id").cast("string")) % 3  # 0 makes the target, 2 the threshold, 1 neither
+    mark = F.when((third == 0) & (F.col("quality") == 1), likelihood.TARGET).when(third == 2, F.when(F.col("quality") == 1, likelihood.CLEAN).when(F.col("quality") == 0, likelihood.JUNK))
+    model = likelihood.fit(docs, labels.select("doc_id", mark.alias("mark")))
+    return likelihood.judged(docs, model).select("doc_id", *likelihood.COUNTS, "base_failed", "kept", "score")
+
+
+@query
+def op11_collocations(spark, d):
+    return collocations(table(spark, d, "documents"))
+
+
+ORACLES["op11_collocations"] = r"""
+WITH texts AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+pieces AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]'), lambda w: w <> '') AS w FROM texts),
+grams AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase FROM pieces, range(1, 4) AS t(m)),
+f AS (SELECT lang, m, phrase, count(*) AS a FROM grams GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+cand AS (SELECT lang, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND a >= 10),
+cuts AS (SELECT lang, phrase, a, w, unnest(range(1, len(w))) AS k FROM cand),
+scored AS (SELECT c.lang, c.phrase, c.a, c.k, x.a AS l, y.a AS r, CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:len(c.w)], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM cand WHERE len(w) = 3 UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM cand WHERE len(w) = 3),
+longer AS (SELECT lang, phrase, max(a) AS a FROM inside GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN longer g ON g.lang = b.lang AND g.phrase = b.phrase WHERE g.a IS NULL OR 100 * g.a < 50 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n.n AS n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""
