@@ -6,7 +6,7 @@ score is the sum of log(target / raw) over its n-grams, divided by their number.
 are in no target: their scores are counted in bins of 1/256, and of all cuts the one is taken with the largest
 clean_weight * (clean kept) - (junk kept), shares each; of equally good neighbouring cuts the middle one. Every document is then judged by that number.
 
-Counters grow with the corpus, one to 16 to 32 n-grams as estimated from its bytes, up to 2 ** most_bits: the ratios are sent to every
+Counters grow with the corpus, one to 17 to 34 n-grams as estimated from its bytes, up to 2 ** most_bits (beyond some 300 MB more n-grams share one): the ratios are sent to every
 worker as four bytes a counter, 16 MB at the default of 22 bits. Tasks count into arrays and give out blocks of 4,096 counters
 packed as bit masks and counts; blocks are dealt by number and summed as a stream, so a task holds one block's sum at a time. Marks, of which there
 may be as many as documents, are joined by id; up to MARKED of them are broadcast.
@@ -195,7 +195,7 @@ def fit(docs: DataFrame, marks: DataFrame, id_col: str = "doc_id", text_col: str
     """The ratios and the cut. marks: (id_col, mark), mark one of TARGET, CLEAN, JUNK; of several marks of an id the least holds."""
     if bits is None:
         size = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
-        bits = int(np.clip(np.ceil(np.log2(max(size / 48, 1))), 8, most_bits))  # a word of six bytes gives two n-grams: sixteen of them to a counter
+        bits = int(np.clip(np.round(np.log2(max(size / 72, 1))), 8, most_bits))  # a word of six bytes gives two n-grams: some 24 of them to a counter
     marks = marks.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.min("mark").alias("__mark"))
     marks = stored(marks.where(F.col("__mark").isNotNull()))
     if marks.count() <= MARKED:
