@@ -37,7 +37,7 @@ from strandloom.plans.lineage import spread, stored
 
 PIECES = b".,;:!?\n\v\f\r"
 #: Bytes of text that a shard's n-grams are sorted for at once; arcs held before a range's transducers are united; a part of the n-grams that bounds come from; parts asked at once.
-BATCH, HELD, EVERY, ASKED = 12 << 20, 3_000_000, 512, 200_000
+BATCH, HELD, EVERY, ASKED = 4 << 20, 1_500_000, 512, 50_000
 _SPLIT = bytes.maketrans(PIECES, b"\n" * len(PIECES))
 PACKED = "words binary, lengths binary, label binary, target binary, weight binary"
 
