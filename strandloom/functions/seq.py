@@ -99,40 +99,58 @@ def log_ratios(coding: DataFrame, background: DataFrame, k: int) -> DataFrame:
     return joined.select("frame", "kmer", F.ln(((F.col("n") + 1) / (F.col("nh") + 1)) / ((bn + 1) / (bt + 1))).alias("ratio"))
 
 
+def open_frames(seq: str, least: int, stops: frozenset[str], open_start: bool = False, open_end: bool = False, strands: str = "+-") -> list[dict]:
+    """The longest open frame up to each stop, longest first, as dicts of lend, rend, strand, frame and complete; coordinates are on the given strand.
+
+    With open_start a frame may begin at the sequence's own beginning, with open_end it may end with the sequence.
+    """
+    out, n = [], len(seq)
+    flipped = seq.translate(str.maketrans(BASES, COMPLEMENTS))[::-1] if "-" in strands else ""
+    for strand, q in (("+", seq), ("-", flipped)):
+        if strand not in strands:
+            continue
+        for frame in range(3):
+            start = frame if open_start else None
+            for i in range(frame, n - 2, 3):
+                codon = q[i : i + 3]
+                if start is None and codon == "ATG":
+                    start = i
+                stop = codon in stops
+                end = i + 3 if stop else (n - (n - frame) % 3 if open_end and i + 6 > n else None)
+                if end is not None and start is not None:
+                    if end - start >= least:
+                        a, b = (start + 1, end) if strand == "+" else (n - end + 1, n - start)
+                        out.append({"lend": a, "rend": b, "strand": strand, "frame": frame + 1, "complete": stop and q[start : start + 3] == "ATG"})
+                if stop:
+                    start = None
+    return sorted(out, key=lambda o: (o["lend"] - o["rend"], o["strand"], o["lend"]))
+
+
 def orfs(s: Column, least: int = 30, code: str = "universal", partial: bool = False) -> Column:
     """array<struct<lend, rend, strand, frame, complete>>: the longest open frame up to each stop, on both strands, longest first.
 
     Coordinates are on the given strand. With partial, frames without a start or stop at the ends count as well.
     """
-    stops = set(stop_codons(code))
-
-    def find(seq: str) -> list[dict]:
-        out, n = [], len(seq)
-        flipped = seq.translate(str.maketrans(BASES, COMPLEMENTS))[::-1]
-        for strand, q in (("+", seq), ("-", flipped)):
-            for frame in range(3):
-                start = frame if partial else None
-                for i in range(frame, n - 2, 3):
-                    codon = q[i : i + 3]
-                    if start is None and codon == "ATG":
-                        start = i
-                    stop = codon in stops
-                    end = i + 3 if stop else (n - (n - frame) % 3 if partial and i + 6 > n else None)
-                    if end is not None and start is not None:
-                        if end - start >= least:
-                            a, b = (start + 1, end) if strand == "+" else (n - end + 1, n - start)
-                            out.append({"lend": a, "rend": b, "strand": strand, "frame": frame + 1, "complete": stop and q[start : start + 3] == "ATG"})
-                    if stop:
-                        start = None
-        return sorted(out, key=lambda o: (o["lend"] - o["rend"], o["strand"], o["lend"]))
+    stops = frozenset(stop_codons(code))
 
     @F.pandas_udf("array<struct<lend: int, rend: int, strand: string, frame: int, complete: boolean>>")
     def run(x: pd.Series) -> pd.Series:
-        return x.map(lambda t: find(t.upper()) if t else [])
+        return x.map(lambda t: open_frames(t.upper(), least, stops, partial, partial) if t else [])
 
     return run(s)
 
 
+def translated(coding: str, code: str = "universal") -> str:
+    """The protein of a coding sequence; codons of other letters are X."""
+    table = amino_acids(code)
+    places = {b: i for i, b in enumerate("TCAG")}
+
+    def one(codon: str) -> str:
+        return table[16 * places[codon[0]] + 4 * places[codon[1]] + places[codon[2]]] if all(b in places for b in codon) else "X"
+
+    return "".join(one(coding[i : i + 3]) for i in range(0, len(coding) - 2, 3))
+
+
 def tail_trim(s: Column, letter: str = "A", least: int = 7, share: float = 80.0) -> Column:
     """Length of the longest ending of at least `least` bases that begins and ends in `letter` and holds `share` percent of it: one pass from the end."""
     start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("hits"), F.lit(0).alias("best"))

@@ -91,11 +91,18 @@ def trimmed_stop(cds: Column, strand: Column) -> Column:
     return within(cds, strand, F.lit(1), size(cds) - 3)
 
 
-def with_sequences(models: DataFrame, sequences: DataFrame, code: str = "universal") -> DataFrame:
-    """models with cdna, coding and protein, from (contig, seq) sequences that are small enough to be one value."""
-    held = models.join(sequences.select("contig", "seq"), "contig")
-    held = held.withColumns({"cdna": spliced(F.col("seq"), F.col("exons"), F.col("strand")), "coding": spliced(F.col("seq"), F.col("cds"), F.col("strand"))}).drop("seq")
-    return held.withColumn("protein", translate(F.col("coding"), 1, code))
+def with_sequences(models: DataFrame, sequences: DataFrame, code: str = "universal", width: int = 4096) -> DataFrame:
+    """models with cdna, coding and protein, from (contig, seq) sequences; what lies between a model's ends comes from tiles, so no row holds a contig."""
+    from strandloom.operators.events import region_sequences
+    from strandloom.operators.validate import tiles
+
+    ends = {"lend": F.get("exons", F.lit(0))["lend"], "rend": F.element_at("exons", -1)["rend"]}
+    spans = models.select("contig", *[c.alias(n) for n, c in ends.items()]).distinct().withColumn("strand", F.lit("+"))
+    held = region_sequences(spans, tiles(sequences, width), width).select(F.col("contig").alias("__contig"), F.col("lend").alias("__lend"), F.col("rend").alias("__rend"), "bases")
+    held = models.join(held, (F.col("contig") == F.col("__contig")) & (ends["lend"] == F.col("__lend")) & (ends["rend"] == F.col("__rend")))
+    moved = lambda parts: F.transform(parts, lambda e: _pair(e["lend"] - F.col("__lend") + 1, e["rend"] - F.col("__lend") + 1))
+    held = held.withColumns({"cdna": spliced(F.col("bases"), moved(F.col("exons")), F.col("strand")), "coding": spliced(F.col("bases"), moved(F.col("cds")), F.col("strand"))})
+    return held.drop("bases", "__contig", "__lend", "__rend").withColumn("protein", translate(F.col("coding"), 1, code))
 
 
 def project(orfs: DataFrame, exons: str = "exons", strand: str = "strand") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strandloom.functions import seq
 from strandloom.operators import annotate as an
+from strandloom.plans.lineage import stored
 from strandloom.queries.registry import query
 from strandloom.sources.tables import day, genes, table
 
@@ -179,7 +180,6 @@ def assembly_gene_models(spark, d):
 def training_set(spark, d):
     """Coding sequences of the structures that score best in their own frame, by the trimers of all of them against those of the contigs."""
     from strandloom.operators import gene
-    from strandloom.plans.lineage import stored
     from strandloom.sources.tables import contig_sequences
 
     c = stored(coded(spark, d)).join(contig_sequences(spark, d), "contig").withColumn("coding", seq.spliced(F.col("seq"), F.col("cds"), F.col("strand"))).drop("seq")
@@ -192,9 +192,18 @@ def training_set(spark, d):
 def full_length_cascade(spark, d):
     """Odd structures against the even ones as models; neighbours of one strand are a gene."""
     from strandloom.operators.cascade import full_length_statuses
-    from strandloom.plans.lineage import stored
 
     rows = stored(coded(spark, d))
     gene_id = F.concat(F.lit("g"), F.floor(F.col("acc") / 200).cast("string"))
     models = rows.where("acc % 2 = 0").select("contig", gene_id.alias("gene_id"), F.concat(F.lit("m"), F.lpad(F.col("acc").cast("string"), 12, "0")).alias("model_id"), "strand", "exons", "cds", "protein")
     return full_length_statuses(rows.where("acc % 2 = 1"), models, least_coding=20.0)
+
+
+@query()
+def contig_annotation(spark, d):
+    """Every transcript of the orders' loci against their gene models, full-length ones first: what each of them does to the annotation."""
+    from strandloom.operators.contig import annotate
+    from strandloom.sources.tables import locus_models, locus_sequences, locus_transcripts
+
+    statuses, _ = annotate(locus_transcripts(spark, d), stored(locus_models(spark, d)), locus_sequences(spark, d), least_coding=15.0)
+    return statuses

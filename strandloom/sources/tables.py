@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -110,3 +110,74 @@ def contig_sequences(spark: SparkSession, d: str, least: int = 4000) -> DataFram
     whole = docs.select(F.col("contig").alias("doc"), F.repeat("seq", (F.lit(least) / F.length("seq")).cast("int") + 1).alias("seq"))
     contigs = table(spark, d, "customer").select(F.col("c_custkey").alias("contig"))
     return contigs.join(whole, F.col("contig") % n == F.col("doc")).select("contig", "seq")
+
+
+#: Bases that an order's locus takes of its customer, those from one exon's begin to the next one's, and from where its transcripts without a gene lie.
+SLOT, STEP, BEYOND = 2000, 180, 1300
+
+
+def loci(spark: SparkSession, d: str) -> DataFrame:
+    """(contig, gene, strand, at, exons): every order as a gene on its customer, its lines as exons of 53 to 151 bases; five of six orders of a customer are of one strand."""
+    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("gene"), ((F.col("l_linenumber") - 1) * STEP).alias("x"), (2 * F.floor("l_quantity")).cast("int").alias("w"))
+    exons = lines.groupBy("gene").agg(F.array_sort(F.collect_list(F.struct(F.col("x").cast("int").alias("x"), "w"))).alias("lines"))
+    # a customer's orders: a few dozen rows a window
+    slot = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1
+    strand = F.when((F.col("o_custkey") + (F.col("o_orderkey") % 6 == 5).cast("int")) % 2 == 0, "+").otherwise("-")
+    orders = table(spark, d, "orders").select(F.col("o_custkey").alias("contig"), F.col("o_orderkey").alias("gene"), strand.alias("strand"), (slot * SLOT + 1).alias("at"))
+    parts = F.transform("lines", lambda e: F.struct((F.col("at") + e["x"]).cast("int").alias("lend"), (F.col("at") + e["x"] + 50 + e["w"]).cast("int").alias("rend")))
+    return orders.join(exons, "gene").select("contig", "gene", "strand", "at", parts.alias("exons"))
+
+
+def locus_sequences(spark: SparkSession, d: str) -> DataFrame:
+    """(contig, seq) for every customer: a document's letters as bases, a to z standing for A, C, G and T in turn, repeated over all its loci; a document without letters is ACGT."""
+    letters = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]", "")
+    bases = F.translate(letters, "abcdefghijklmnopqrstuvwxyz", "".join("ACGT"[i % 4] for i in range(26)))
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("contig"), F.when(bases == "", "ACGT").otherwise(bases).alias("seq"))
+    need = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("customer")).agg(((F.count("*") + 1) * SLOT).cast("int").alias("need"))
+    # documents' ids are numbers from 0 without gaps: customers take them in turn
+    last = docs.agg(F.max("contig").alias("last"))
+    wanted = need.crossJoin(F.broadcast(last)).withColumn("doc", F.col("customer") % (F.col("last") + 1))
+    joined = wanted.join(docs.withColumnRenamed("contig", "doc"), "doc")
+    return joined.select(F.col("customer").alias("contig"), F.left(F.repeat("seq", (F.col("need") / F.length("seq")).cast("int") + 1), F.col("need")).alias("seq"))
+
+
+def locus_transcripts(spark: SparkSession, d: str, each: int = 4) -> DataFrame:
+    """(contig, acc, strand, exons, is_full): `each` transcripts of every locus of two exons and more, each its gene's exons with one of sixteen changes.
+
+    By kind: 0 none, 1 longer ends, 2 without the outer exons, 3 without the second exon, 4 and 5 another site (six and five bases off), 6 with the next locus's exons,
+    7 one exon beyond its end, 8 on the other strand, 9 and 10 apart from all genes, 11 and 12 the first and second half, 13 two exons with their intron, 14 the last two exons with another site, 15 the inner exons with longer ends.
+    """
+    n, e = F.size("exons"), F.col("exons")
+    nxt = F.lead("exons").over(Window.partitionBy("contig", "strand").orderBy("at"))  # a customer's loci of a strand
+    rows = loci(spark, d).withColumn("next", nxt).where("size(exons) > 1").select("*", F.explode(F.sequence(F.lit(0), F.lit(each - 1))).alias("i"))
+    kind = (F.col("gene") * 5 + F.col("i") * 7 + F.floor(F.col("gene") / 3)) % 16
+    rows = rows.withColumn("kind", kind.cast("int"))
+    pair = lambda l, r: F.struct(l.cast("int").alias("lend"), r.cast("int").alias("rend"))
+    changed = lambda parts, k, left=0, right=0: F.transform(parts, lambda x, i: F.when(i == k, pair(x["lend"] - left, x["rend"] + right)).otherwise(pair(x["lend"], x["rend"])))
+    first, last, half = e[0], F.element_at("exons", -1), F.floor(n / 2).cast("int")
+    wide = changed(changed(e, F.lit(0), left=15), n - 1, right=20)
+    inner = F.slice("exons", F.lit(2), F.greatest(n - 2, F.lit(1)))
+    tail = F.slice("exons", n - 1, F.lit(2))
+    apart = lambda a, b: F.array(*[pair(F.col("at") + BEYOND + x, F.col("at") + BEYOND + y) for x, y in ((0, 70 + a), (140, 230 - b), (300, 380))])
+    made = [
+        e, wide, changed(changed(inner, F.lit(0), left=-5), F.size(inner) - 1, right=-5), F.concat(F.slice("exons", F.lit(1), F.lit(1)), F.slice("exons", F.lit(3), F.greatest(n - 2, F.lit(0)))), changed(e, F.lit(0), right=-6),
+        changed(e, F.lit(0), right=-5), F.concat("exons", F.coalesce("next", F.array().cast(rows.schema["exons"].dataType))), F.array(pair(first["rend"] - 20, first["rend"] + 35)), e,
+        apart(F.lit(0), F.lit(0)), F.slice(apart(F.lit(6), F.lit(0)), F.lit(1), F.lit(2)), F.slice("exons", F.lit(1), F.greatest(half, F.lit(1))), F.slice("exons", half + 1, n - half),
+        F.array(pair(first["lend"] + 5, e[1]["rend"] - 5)), changed(tail, F.lit(0), right=-6), changed(changed(inner, F.lit(0), left=12), F.size(inner) - 1, right=12),
+    ]
+    parts = F.element_at(F.array(*[m.cast(rows.schema["exons"].dataType) for m in made]), F.col("kind") + 1)
+    strand = F.when(F.col("kind") == 8, F.translate("strand", "+-", "-+")).when((F.col("kind") == 7) & (F.col("gene") % 3 == 0), "?").otherwise(F.col("strand"))
+    full = ((F.col("gene") + F.col("i") + F.floor(F.col("kind") / 5)) % 2 == 0) & (strand != "?") & (F.col("kind") != 10)
+    return rows.select("contig", (F.col("gene") * 10 + F.col("i")).alias("acc"), strand.alias("strand"), parts.alias("exons"), full.alias("is_full"))
+
+
+def locus_models(spark: SparkSession, d: str) -> DataFrame:
+    """(contig, gene_id, model_id, strand, exons, cds, protein): the loci as gene models by their longest open frame, every fifth with a second model that lacks an inner exon."""
+    from strandloom.operators.contig import with_frames
+
+    rows = loci(spark, d).withColumn("gene_id", F.concat(F.lit("g"), F.col("gene").cast("string")))
+    shorter = F.concat(F.slice("exons", F.lit(1), F.lit(1)), F.slice("exons", F.lit(3), F.greatest(F.size("exons") - 2, F.lit(0))))
+    one = rows.select("contig", "gene_id", F.concat("gene_id", F.lit("m1")).alias("model_id"), "strand", "exons")
+    two = rows.where("gene % 5 = 0 AND size(exons) > 3").select("contig", "gene_id", F.concat("gene_id", F.lit("m2")).alias("model_id"), "strand", shorter.alias("exons"))
+    coded = with_frames(one.unionByName(two), locus_sequences(spark, d)).where("cds IS NOT NULL")
+    return coded.select("contig", "gene_id", "model_id", "strand", "exons", "cds", "protein")
