@@ -38,6 +38,8 @@ from strandloom.plans.lineage import spread, stored
 PIECES = b".,;:!?\n\v\f\r"
 #: Bytes of text that a shard's n-grams are sorted for at once; arcs held before a range's transducers are united; a part of the n-grams that bounds come from; parts asked at once.
 BATCH, HELD, EVERY, ASKED = 4 << 20, 1_500_000, 512, 50_000
+#: Parts of a group whose first phrases are found before those of the group.
+PARTS = 64
 _SPLIT = bytes.maketrans(PIECES, b"\n" * len(PIECES))
 PACKED = "words binary, lengths binary, label binary, target binary, weight binary"
 
@@ -258,8 +260,11 @@ def collocations(docs: DataFrame, group_col: str = "lang", text_col: str = "text
     longer = counted.where(length > 2).select("lang", F.explode(inner).alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("of_longer"))
     kept = best.join(longer, ["lang", "phrase"], "left").where(F.col("of_longer").isNull() | (100 * F.col("of_longer") < share * F.col("a")))
     words = ranges.groupBy("lang").agg(F.sum("n").alias("n"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("cut.score").desc(), F.col("a").desc(), "phrase"))
-    ranked = kept.withColumn("rank", place)
+    order = [F.col("cut.score").desc(), F.col("a").desc(), "phrase"]
+    if top is not None:  # what isn't among the first of its part of a group isn't among the group's
+        parts_of = kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+        kept = parts_of.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
+    ranked = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     if top is not None:
-        ranked = ranked.where(F.col("rank") <= top)  # Spark keeps that many of each task before it shuffles
+        ranked = ranked.where(F.col("rank") <= top)
     return ranked.join(words, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "cut.l", "cut.r", "n", F.col("cut.score").cast("long").alias("score"))
