@@ -110,10 +110,11 @@ def same_protein(a: Column, b: Column, length: float = 70.0, identity: float = 7
 
     @F.pandas_udf("double")
     def run(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([protein_identity(p, q) for p, q in zip(x, y)], dtype="float64")
+        return pd.Series([0.0 if p is None else 100.0 if p == q else protein_identity(p, q) for p, q in zip(x, y)], dtype="float64")
 
     ratio = 100 * F.least(F.length(a), F.length(b)) / F.greatest(F.length(a), F.length(b), F.lit(1))
-    return (ratio >= length) & (run(a, b) >= identity)
+    near = ratio >= length  # only these are aligned
+    return near & (run(F.when(near, a), b) >= identity)
 
 
 def status_changes(before: DataFrame, after: DataFrame) -> DataFrame:

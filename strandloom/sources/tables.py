@@ -150,8 +150,8 @@ def locus_transcripts(spark: SparkSession, d: str, each: int = 4) -> DataFrame:
     n, e = F.size("exons"), F.col("exons")
     nxt = F.lead("exons").over(Window.partitionBy("contig", "strand").orderBy("at"))  # a customer's loci of a strand
     rows = loci(spark, d).withColumn("next", nxt).where("size(exons) > 1").select("*", F.explode(F.sequence(F.lit(0), F.lit(each - 1))).alias("i"))
-    kind = (F.col("gene") * 5 + F.col("i") * 7 + F.floor(F.col("gene") / 3)) % 16
-    rows = rows.withColumn("kind", kind.cast("int"))
+    mixed = F.crc32((F.col("gene") * 10 + F.col("i")).cast("string"))
+    rows = rows.withColumns({"kind": (mixed % 16).cast("int"), "coin": (F.floor(mixed / 16) % 2).cast("int")})
     pair = lambda l, r: F.struct(l.cast("int").alias("lend"), r.cast("int").alias("rend"))
     changed = lambda parts, k, left=0, right=0: F.transform(parts, lambda x, i: F.when(i == k, pair(x["lend"] - left, x["rend"] + right)).otherwise(pair(x["lend"], x["rend"])))
     first, last, half = e[0], F.element_at("exons", -1), F.floor(n / 2).cast("int")
@@ -167,7 +167,7 @@ def locus_transcripts(spark: SparkSession, d: str, each: int = 4) -> DataFrame:
     ]
     parts = F.element_at(F.array(*[m.cast(rows.schema["exons"].dataType) for m in made]), F.col("kind") + 1)
     strand = F.when(F.col("kind") == 8, F.translate("strand", "+-", "-+")).when((F.col("kind") == 7) & (F.col("gene") % 3 == 0), "?").otherwise(F.col("strand"))
-    full = ((F.col("gene") + F.col("i") + F.floor(F.col("kind") / 5)) % 2 == 0) & (strand != "?") & (F.col("kind") != 10)
+    full = (F.col("coin") == 0) & (strand != "?") & (F.col("kind") != 10)
     return rows.select("contig", (F.col("gene") * 10 + F.col("i")).alias("acc"), strand.alias("strand"), parts.alias("exons"), full.alias("is_full"))
 
 

@@ -64,6 +64,11 @@ def test_matching_in_rounds_equals_one_pass(spark):
     got = cascade.matched(spark.createDataFrame(edges, "u int, v int, t boolean"), "u", "v", "t")
     assert sorted(map(tuple, got.collect())) == greedy(edges)
     assert cascade.matched(spark.createDataFrame([], "u int, v int"), "u", "v").count() == 0
+    # of several groups at once, as a stream
+    many = [(g, 100 * g + u, 100 * g + v, t) for g in range(5) for u, v, t in edges[g::2]]
+    df = spark.createDataFrame(many, "g int, u int, v int, t boolean").repartition(3)
+    assert sorted(map(tuple, cascade.matched_within(df, ["g"], "u", "v", "t").collect())) == sorted(greedy([e[1:] for e in many]))
+    assert cascade.matched_within(df.where("false"), ["g"], "u", "v").count() == 0
 
 
 def alike(a, b):
