@@ -103,6 +103,65 @@ def test_assembly_against_all_chains():
         assert assemble.scan(mate & ~held & ~held.T, held, range(n))[0].max() == brute_best(structures)
 
 
+def test_assemblies_of_piles(spark):
+    """Whole piles one at a time, by the function on all of a strand's structures, against the join and its components."""
+    rng = random.Random(3)
+    rows = []
+    for contig in range(12):
+        for acc in range(rng.choice([1, 4, 30])):
+            at, out = rng.choice([0, 5, 30, 50, 60, 110, 200, 260]), []
+            for _ in range(rng.randrange(1, 5)):
+                out.append((at, at + rng.choice([20, 30])))
+                at = out[-1][1] + rng.choice([20, 30])
+            rows.append((contig, acc, rng.choice("++--?"), out, 1.0))
+    want = []
+    for contig in range(12):
+        own = sorted((r for r in rows if r[0] == contig), key=lambda r: (r[3][0][0], r[3][-1][1], r[1]))
+        piles, reach = [], None
+        for r in own:
+            if reach is None or r[3][0][0] > reach:
+                piles.append([])
+            reach = r[3][-1][1] if not piles[-1] else max(reach, r[3][-1][1])
+            piles[-1].append(r)
+        for number, pile in enumerate(piles, 1):
+            found = []
+            for strand in "+-":
+                at = [i for i, r in enumerate(pile) if r[2] in (strand, "?")]
+                if at and (strand == "+" or any(pile[i][2] == "-" for i in at)):
+                    found += [(strand, [at[k] for k in got]) for got in assemble.assemble([pile[i][3] for i in at])]
+            seen, n = set(), 0
+            for strand, got in sorted(found, key=lambda f: (-len(f[1]), f[0], f[1])):
+                if not seen.issuperset(got):
+                    seen.update(got)
+                    n += 1
+                    text = ",".join(f"{l}-{r}" for l, r in assemble.union([pile[i][3] for i in got]))
+                    want.append((contig, number, strand, n, ",".join(str(a) for a in sorted(pile[i][1] for i in got)), len(got), text))
+    df = spark.createDataFrame(rows, "contig int, acc int, strand string, segments array<struct<lend:int,rend:int>>, score double")
+    for crowd in (500, 1):
+        assert sorted(map(tuple, assemble.assemblies(df, crowd=crowd).collect())) == sorted(want)
+    assert assemble.assemblies(df.where("false")).count() == 0
+
+
+def test_assembly_of_a_crowded_pile():
+    # 5,000 structures over forty shared exons: rows of bits, not loops over members
+    import time
+
+    import numpy as np
+
+    rng = random.Random(5)
+    structures = []
+    for _ in range(5000):
+        first = rng.randrange(40)
+        out = [[200 * k, 200 * k + 100] for k in range(first, first + rng.randrange(1, 6))]
+        out[0][0] += rng.randrange(60)
+        structures.append([tuple(s) for s in out])
+    structures.sort(key=lambda s: (s[0][0], s[-1][1]))
+    pairs = np.array([(i, j) for i in range(5000) for j in range(i + 1, 5000) if structures[j][0][0] <= structures[i][-1][1]])  # all exons are whole at their inner ends, so all that meet fit
+    begin = time.time()
+    got = assemble.assemble(structures, pairs=pairs)
+    assert set().union(*got) == set(range(5000)) and time.time() - begin < 60
+
+
 def test_compatibility_boundaries():
     a = [(100, 200), (300, 400)]
     assert assemble.compatible(a, [(150, 200), (300, 350)])
