@@ -194,3 +194,16 @@ def status_diff_matrix(spark, d):
     later = y.select("k", (F.col("y") - 1).alias("y"), F.col("s").alias("after"))
     m = y.join(later, ["k", "y"]).groupBy(F.col("s").alias("before")).pivot("after", ["F", "O", "P"]).count()
     return m.na.fill(0)
+
+
+@query("""WITH s AS (SELECT l_suppkey AS supplier, count(*) AS n, CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS k FROM lineitem GROUP BY l_suppkey),
+p AS (SELECT CAST(sum(k) AS DOUBLE) / sum(n) AS p FROM s),
+t AS (SELECT supplier, n, k, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(p) + (n - i) * ln(1 - p))) AS upper FROM s, p, range(0, 100000) AS r(i) WHERE i BETWEEN k AND n GROUP BY supplier, n, k)
+SELECT supplier, n, k, round(CASE WHEN k = 0 THEN 1.0 ELSE upper END, 6) AS upper FROM t""")
+def binomial_tails(spark, d):
+    """How likely a supplier would have as many returned lines as it has, or more, if all suppliers were alike."""
+    from strandloom.functions.stats import binomial_upper
+
+    s = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("supplier")).agg(F.count("*").alias("n"), F.sum((F.col("l_returnflag") == "R").cast("long")).alias("k"))
+    p = s.agg((F.sum("k") / F.sum("n")).alias("p"))
+    return s.crossJoin(F.broadcast(p)).select("supplier", "n", "k", F.round(binomial_upper(F.col("k"), F.col("n"), F.col("p")), 6).alias("upper"))

@@ -119,6 +119,7 @@ SLOT, STEP, BEYOND = 2000, 180, 1300
 def loci(spark: SparkSession, d: str) -> DataFrame:
     """(contig, gene, strand, at, exons): every order as a gene on its customer, its lines as exons of 53 to 151 bases; five of six orders of a customer are of one strand."""
     lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("gene"), ((F.col("l_linenumber") - 1) * STEP).alias("x"), (2 * F.floor("l_quantity")).cast("int").alias("w"))
+    lines = lines.groupBy("gene", "x").agg(F.max("w").alias("w"))  # line numbers may repeat within an order
     exons = lines.groupBy("gene").agg(F.array_sort(F.collect_list(F.struct(F.col("x").cast("int").alias("x"), "w"))).alias("lines"))
     # a customer's orders: a few dozen rows a window
     slot = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1
