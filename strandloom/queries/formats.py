@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from strandloom.plans.lineage import shared_dir
 from strandloom.queries.registry import query, structures_sql
 from strandloom.sources import formats as fm
 from strandloom.sources.tables import structures, table
@@ -76,3 +79,28 @@ def alignment_tokens(spark, d):
     s = table(spark, d, "lineitem").select("l_orderkey", "l_linestatus", "l_partkey", "l_quantity").distinct()
     token = fm.alignment_token(F.when(F.col("l_linestatus") == "O", "+").otherwise("-"), segments)
     return s.groupBy(token.alias("token")).agg(F.count("*").alias("n"))
+
+
+def _written(rows, spark):
+    """The folder in the shared one that the lines of rows are written to."""
+    at = f"{shared_dir(spark)}/lines-{uuid.uuid4().hex}"
+    rows.write.text(at)
+    return at
+
+
+@query("SELECT 'r' || doc_id AS name, regexp_replace(upper(coalesce(text, '')), '[^ACGT]', '', 'g') AS seq, repeat('I', length(regexp_replace(upper(coalesce(text, '')), '[^ACGT]', '', 'g'))) AS quality FROM documents")
+def fastq_round_trip(spark, d):
+    """The documents' bases as reads, written as files and read again split by split."""
+    from strandloom.functions.seq import bases_of
+
+    reads = table(spark, d, "documents").select(F.concat(F.lit("r"), F.col("doc_id").cast("string")).alias("name"), bases_of(F.col("text")).alias("seq"))
+    return fm.fastq(spark, _written(fm.to_fastq(reads.withColumn("quality", F.expr("repeat('I', length(seq))"))), spark))
+
+
+@query("SELECT 'o' || l_orderkey AS contig, CAST(10 + 5 * (i - 1) AS INT) AS pos, v AS value FROM (SELECT l_orderkey, l_extendedprice AS v, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice, l_linenumber) AS i FROM lineitem)")
+def wiggle_round_trip(spark, d):
+    """An order's prices as a track of fixed steps, written as files and read again split by split."""
+    values = F.array_join(F.transform(F.array_sort(F.collect_list("l_extendedprice")), lambda v: v.cast("string")), "\n")
+    tracks = table(spark, d, "lineitem").groupBy("l_orderkey").agg(values.alias("v"))
+    lines = tracks.select(F.concat(F.lit("fixedStep chrom=o"), F.col("l_orderkey").cast("string"), F.lit(" start=10 step=5\n"), F.col("v")).alias("value"))
+    return fm.wiggle(fm.split_lines(spark, _written(lines, spark)))

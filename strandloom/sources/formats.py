@@ -16,6 +16,42 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def split_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, line, value): the lines of files that Spark splits as it likes; block is the split's first byte, line counts from 0 within it.
+
+    Lines are counted without a shuffle: a task reads its splits one after the other, so a line's place among the task's rows, less that of its split's first
+    line, is its place in the split. Both readings of the files, this count and the lines, split them alike as long as the session's settings stay.
+    """
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    first = raw.groupBy("file", "block").agg(F.min("at").alias("first")).select(F.col("file").alias("f"), F.col("block").alias("b"), "first")
+    return raw.join(first, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b"))).select("file", "block", (F.col("at") - F.col("first")).alias("line"), "value")
+
+
+def carried(rows: DataFrame, **what: Column) -> DataFrame:
+    """split_lines with each of `what` (null but where a line sets it) as the last one set up to the line, in its file.
+
+    Windows go over single splits; what a split takes over from those before it comes from a table of one row a split.
+    """
+    inside = Window.partitionBy("file", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    marked = rows.select("*", *[c.alias(f"__{n}") for n, c in what.items()])
+    last = marked.groupBy("file", "block").agg(*[F.max_by(f"__{n}", F.when(F.col(f"__{n}").isNotNull(), F.col("line"))).alias(n) for n in what])
+    over = last.select(F.col("file").alias("__f"), F.col("block").alias("__b"), *[F.last(n, ignorenulls=True).over(before).alias(f"__was_{n}") for n in what])
+    joined = marked.join(over, (F.col("file") == F.col("__f")) & (F.col("block") == F.col("__b")))
+    return joined.select(*rows.columns, *[F.coalesce(F.last(f"__{n}", ignorenulls=True).over(inside), F.col(f"__was_{n}")).alias(n) for n in what])
+
+
+def counted(rows: DataFrame, name: str, which: Column) -> DataFrame:
+    """split_lines with `name`: how many lines of the file up to this one are `which`; windows as in ``carried``."""
+    inside = Window.partitionBy("file", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    one = F.coalesce(which.cast("long"), F.lit(0))
+    ahead = rows.groupBy("file", "block").agg(F.sum(one).alias("n"))
+    ahead = ahead.select(F.col("file").alias("__f"), F.col("block").alias("__b"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__ahead"))
+    joined = rows.join(ahead, (F.col("file") == F.col("__f")) & (F.col("block") == F.col("__b")))
+    return joined.select(*rows.columns, (F.sum(one).over(inside) + F.col("__ahead")).alias(name))
+
+
 def fields(rows: DataFrame, comment: str = "#") -> DataFrame:
     """Non-comment lines with c, their tab-separated fields."""
     kept = rows.where((F.trim("value") != "") & ~F.startswith("value", F.lit(comment)))
@@ -134,12 +170,24 @@ def vcf(rows: DataFrame) -> DataFrame:
 
 
 def wiggle(rows: DataFrame) -> DataFrame:
-    """(contig, pos, value) of variableStep data; rows need number, their order within file, and a file column."""
-    w = Window.partitionBy("file").orderBy("number")
-    chrom = F.regexp_extract("value", r"chrom=(\S+)", 1)
-    held = rows.withColumn("contig", F.last(F.when(chrom != "", chrom), ignorenulls=True).over(w))
-    got = F.split("value", r"\s+")
-    return held.where(F.col("value").rlike(r"^[0-9]")).select("contig", F.get(got, F.lit(0)).try_cast("int").alias("pos"), F.get(got, F.lit(1)).try_cast("double").alias("value"))
+    """(contig, pos, value) of variableStep and fixedStep data; rows are split_lines, or have number, their order within file, and a file column.
+
+    A span of more than one base gives a row for each; track, browser, comment and malformed lines are left out.
+    """
+    if "number" in rows.columns:
+        rows = rows.select("file", F.lit(0).alias("block"), F.col("number").alias("line"), "value")
+    part = lambda name, default: F.coalesce(F.regexp_extract("value", rf"\b{name}=(\S+)", 1).try_cast("int"), F.lit(default))
+    opens = F.col("value").rlike("^(variable|fixed)Step")
+    data = F.col("value").rlike(r"^\s*-?[0-9.]")
+    kept = counted(rows, "n", data)
+    head = F.struct(F.regexp_extract("value", r"\bchrom=(\S+)", 1).alias("contig"), F.startswith("value", F.lit("fixed")).alias("fixed"), part("start", 1).alias("start"), part("step", 1).alias("step"), part("span", 1).alias("span"), F.col("n").alias("n"))
+    held = carried(kept, head=F.when(opens, head)).where(data & F.col("head").isNotNull())
+    got = F.split(F.trim("value"), r"\s+")
+    fixed = F.col("head.fixed")
+    pos = F.when(fixed, F.col("head.start") + F.col("head.step") * (F.col("n") - F.col("head.n") - 1)).otherwise(F.get(got, F.lit(0)).try_cast("int"))
+    value = F.get(got, F.when(fixed, 0).otherwise(1)).try_cast("double")
+    each = held.select(F.col("head.contig").alias("contig"), pos.cast("int").alias("from"), "head.span", value.alias("value"))
+    return each.select("contig", F.explode(F.sequence("from", F.col("from") + F.greatest("span", F.lit(1)) - 1)).alias("pos"), "value")
 
 
 def fasta_records(records: DataFrame) -> DataFrame:
@@ -161,6 +209,21 @@ def fastq_records(records: DataFrame) -> DataFrame:
     return records.where(F.startswith("value", F.lit("@"))).select(F.regexp_extract(get(0), r"^@(\S+)", 1).alias("name"), get(1).alias("seq"), get(3).alias("quality"))
 
 
+def fastq(spark: SparkSession, path: str) -> DataFrame:
+    """(name, seq, quality) of four-line FASTQ files, each split over many tasks: a record's lines are found by their number in the file."""
+    rows = counted(split_lines(spark, path), "n", F.lit(True))
+    place = F.pmod(F.col("n") - 1, F.lit(4))
+    line = lambda i: F.max(F.when(place == i, F.col("value")))
+    found = rows.groupBy("file", F.floor((F.col("n") - 1) / 4).alias("record")).agg(line(0).alias("head"), line(1).alias("seq"), line(2).alias("plus"), line(3).alias("quality"))
+    good = F.startswith("head", F.lit("@")) & F.startswith("plus", F.lit("+")) & (F.length("seq") == F.length("quality"))
+    return found.where(good).select(F.regexp_extract("head", r"^@(\S+)", 1).alias("name"), "seq", "quality")
+
+
+def to_fastq(reads: DataFrame) -> DataFrame:
+    """One row of four lines for each read (name, seq, quality)."""
+    return reads.select(F.concat(F.lit("@"), F.col("name").cast("string"), F.lit("\n"), F.col("seq"), F.lit("\n+\n"), F.col("quality")).alias("value"))
+
+
 def trim_report(rows: DataFrame) -> DataFrame:
     """(acc, length, left, right) of transcripts trimmed at exactly one end, once."""
     f = fields(rows).select(F.trim(at(0)).alias("acc"), F.trim(at(4)).try_cast("int").alias("length"), F.regexp_extract_all("value", F.lit(r"trimpoly\[\+?(\d+), -?(\d+)\]"), F.lit(1)).alias("l"), F.regexp_extract_all("value", F.lit(r"trimpoly\[\+?(\d+), -?(\d+)\]"), F.lit(2)).alias("r"))
@@ -226,16 +289,17 @@ def btab(rows: DataFrame) -> DataFrame:
 
 
 def feature_table(rows: DataFrame) -> DataFrame:
-    """(contig, feature, type, lend, rend, strand, partial) of '>Feature' tables; rows need number, their order, and file.
+    """(contig, feature, type, lend, rend, strand, partial) of '>Feature' tables; rows are split_lines, or have number, their order, and file.
 
     A line with a type opens a feature, lines of two numbers go on with it; qualifier lines are left out.
     """
-    w = Window.partitionBy("file").orderBy("number")
+    if "number" in rows.columns:
+        rows = rows.select("file", F.lit(0).alias("block"), F.col("number").alias("line"), "value")
     c = F.split("value", "\t", -1)
     cell = lambda i: F.get(c, F.lit(i))
     opens = F.coalesce((cell(0) != "") & (F.trim(cell(2)) != ""), F.lit(False))
     head = F.regexp_extract("value", r"^>Feature\s+(\S+)", 1)
-    held = rows.select("*", F.last(F.when(head != "", head), ignorenulls=True).over(w).alias("contig"), F.last(F.when(opens, F.trim(cell(2))), ignorenulls=True).over(w).alias("type"), F.sum(opens.cast("int")).over(w).alias("feature"))
+    held = carried(counted(rows, "feature", opens), contig=F.when(head != "", head), type=F.when(opens, F.trim(cell(2))))
     spans = held.where(F.col("value").rlike(r"^[<>]?\d+\t[<>]?\d+"))
     a, b = (F.regexp_replace(cell(i), "[<>]", "").try_cast("int") for i in (0, 1))
     return spans.select("contig", "feature", "type", F.least(a, b).alias("lend"), F.greatest(a, b).alias("rend"), F.when(a > b, "-").otherwise("+").alias("strand"), F.col("value").rlike("^[<>]|\t[<>]").alias("partial"))
