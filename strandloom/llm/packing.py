@@ -9,6 +9,7 @@ document of most of the tokens).
 Nulls: a null text counts as empty and gives the end token alone; null ids are kept. Repeated rows and ids are packed
 each for itself; ties in length keep the order of (id, start). Very long texts are many full windows. Other columns are left out by
 token_pieces; pack keeps those of its pieces. An empty table gives an empty one.
+Words that hold one of the vocabulary's special strings are coded by the library itself, and words beyond Latin letters pass its normaliser and pre-tokeniser before they are merged here.
 """
 
 from __future__ import annotations

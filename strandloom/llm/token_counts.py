@@ -6,6 +6,7 @@ Null texts count as empty; nulls in the id column pass through; equal rows give
 named id column is kept, so other columns cannot clash. Pairs of one rank merge from the left. Texts are cut into words 2,000,000
 characters at a time, and an unbroken word of more than 2,000 bytes is merged by itself, rank by rank (``merges.merge_long``).
 An empty table gives an empty one.
+Words that hold one of the vocabulary's special strings are coded by the library itself, and words beyond Latin letters pass its normaliser and pre-tokeniser before they are merged here.
 """
 
 from __future__ import annotations

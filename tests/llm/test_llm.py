@@ -448,6 +448,30 @@ def test_repeated_spans(spark, none, largest, monkeypatch):
     assert suffixes.repeated_spans(none).count() == 0
 
 
+def test_repeated_spans_odd(spark, odd):
+    got = suffixes.repeated_spans(odd).collect()
+    want = brute_repeats([(r[1] or "").encode() for r in ODD], 400)
+    assert got[0].asDict().keys() >= {"doc_id", "text", "fp", "at", "__odd name", "__kept", "__spans"}
+    assert sorted(((r["doc_id"], bytes(r["__kept"]), len(r["__spans"])) for r in got), key=repr) == sorted(((r[0], *w) for r, w in zip(ODD, want)), key=repr)
+
+
+def test_unbroken_words(spark):
+    """Texts of one long word, and of a megabyte, through the coders in Spark."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    texts = ["x" * 200_000, "ab" * 60_000, "日本" * 20_000, "words and more words. " * 50_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    library, piece = Tokenizer.from_file(WORDS), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    ids = {i: library.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
+    assert {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(docs, WORDS).collect()} == {i: len(x) for i, x in ids.items()}
+    assert {r["doc_id"]: list(r["ids"]) for r in pieces.encode(docs, PIECES).collect()} == {i: piece.encode(t) for i, t in enumerate(texts)}
+    held = {}
+    for r in packing.token_pieces(docs, WORDS, end_id=2, capacity=4096).collect():
+        held.setdefault(r["doc_id"], []).append((r["start"], np.frombuffer(r["ids"], "<u4").tolist()))
+    assert {i: [x for _, part in sorted(p) for x in part] for i, p in held.items()} == {i: [*x, 2] for i, x in ids.items()}
+
+
 def test_pieces_equal_library(texts):
     import sentencepiece
 
