@@ -32,7 +32,7 @@ def _as_documents(changed: DataFrame, columns: list[str]) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that the rule ensemble, fitted to labels of sf_dir outside the held-out third, predicts as good.
 
-    Null texts are judged as empty; a score of exactly 0.5 keeps; equal rows are judged alike.
+    Null and long texts are judged whole, null as empty; a score of exactly 0.5 keeps; equal rows are judged alike; an empty table stays empty. Columns of any name stay.
     """
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality", learn=~is_held_out())
     names = {c: f"__kept_{i}" for i, c in enumerate(docs.columns)}
@@ -43,14 +43,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes out lines with an equal or near-equal earlier one; a null text stays null, equal rows lose the same lines."""
+    """Takes out lines with an equal or near-equal earlier one; a null text stays null, equal rows lose the same lines, lines of any length are compared whole, an empty table stays empty."""
     return _as_documents(line_dedup(docs), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the least doc_id of each component of five-word similarity 0.8 or more; without an id there is nothing to keep it by, so it stays.
 
-    Of several rows of that id, all different ones stay and equal ones become one.
+    Of several rows of that id, all different ones stay and equal ones become one. Texts of fewer than five words, null ones included, are told apart by their whole
+    sequence of words; long texts count with all their shingles; an empty table stays empty.
     """
     kept = similar_groups(docs).where("doc_id = component_id").select("doc_id").distinct()
     named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
@@ -59,12 +60,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes out repeated passages; a document that is all repeats stays with an empty text, a null one stays null, equal rows lose the same."""
+    """Takes out repeated passages; a document that is all repeats stays with an empty text, a null one stays null, equal rows lose the same, texts of any length are cut whole, an empty table stays empty."""
     return _as_documents(substring_dedup(docs), docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their sequence and offset, in windows of 4096."""
+    """Token pieces with their sequence and offset, in windows of 4096.
+
+    A null text is packed as an empty one, which is its end id alone; texts of more than a window are cut into full ones first; equal rows have pieces each, equal lengths are
+    packed in any order; an empty table gives no pieces. Columns of docs but the id don't appear.
+    """
     pieces = token_pieces(docs, vocabulary("word_bpe_49k.json"), end_id=2, capacity=4096)
     pieces = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
     return pack(pieces, 4096)
