@@ -149,19 +149,21 @@ def stomping_pairs(spark, d):
     return met.where(gene.stomps(c("lend"), c("rend"), c("b_lend"), c("b_rend"))).select("contig", "acc", c("b_acc").alias("other"))
 
 
-@query(f"""WITH {MODELS}, pr AS (SELECT a.contig, a.acc, b.acc AS other, a.strand FROM half a JOIN half b ON a.contig = b.contig AND a.strand = b.strand AND a.acc < b.acc),
+@query(f"""WITH {MODELS}, pr AS (SELECT a.contig, a.acc, b.acc AS other, a.strand FROM half a JOIN half b ON a.contig = b.contig AND a.strand = b.strand AND a.acc < b.acc AND a.lo <= b.hi AND a.hi >= b.lo),
 nu AS (SELECT p.contig, p.acc, p.other, s.lend, s.rend FROM pr p JOIN seg s ON s.contig = p.contig AND s.acc = p.other AND s.strand = p.strand
   WHERE NOT EXISTS (SELECT 1 FROM cds c WHERE c.contig = p.contig AND c.acc = p.other AND c.strand = p.strand AND c.lend <= s.rend AND c.rend >= s.lend)),
 lo AS (SELECT n.* FROM nu n WHERE EXISTS (SELECT 1 FROM cds c WHERE c.contig = n.contig AND c.acc = n.acc AND c.lend <= n.rend AND c.rend >= n.lend))
 SELECT p.contig, p.acc, p.other, EXISTS (SELECT 1 FROM lo l WHERE l.contig = p.contig AND l.acc = p.acc AND l.other = p.other AND NOT EXISTS (SELECT 1 FROM seg s WHERE s.contig = p.contig AND s.acc = p.acc AND s.lend <= l.rend AND s.rend >= l.lend AND s.lend % 2 = 0)) AS wrong FROM pr p""")
 def false_untranslated_parts(spark, d):
-    """Whether the other model would leave a coding part of the first untranslated without a segment of the evidence (the first's segments of even start) on it."""
+    """Of models that overlap: whether the other model would leave a coding part of the first untranslated without a segment of the evidence (the first's segments of even start) on it."""
+    from strandloom.plans.ranges import overlap_join
+
     m = gene_models(spark, d).withColumn("acc", F.substring("model_id", 2, 20).cast("long"))
-    a, b = m.alias("a"), m.alias("b")
-    pairs = a.join(b, F.expr("a.contig = b.contig AND a.strand = b.strand AND a.acc < b.acc"))
     c = F.col
-    evidence = F.filter(c("a.exons"), lambda e: e["lend"] % 2 == 0)
-    return pairs.select(c("a.contig").alias("contig"), c("a.acc").alias("acc"), c("b.acc").alias("other"), gene.false_untranslated(c("a.cds"), c("a.exons"), c("b.exons"), c("b.cds"), evidence).alias("wrong"))
+    spans = m.select("contig", "strand", "acc", "exons", "cds", F.get("exons", F.lit(0))["lend"].alias("lend"), F.element_at("exons", -1)["rend"].alias("rend"))
+    pairs = overlap_join(spans, spans, ("contig", "strand"), width=256).where("acc < b_acc")
+    evidence = F.filter(c("exons"), lambda e: e["lend"] % 2 == 0)
+    return pairs.select("contig", "acc", c("b_acc").alias("other"), gene.false_untranslated(c("cds"), c("exons"), c("b_exons"), c("b_cds"), evidence).alias("wrong"))
 
 
 def outcomes(spark, d):
@@ -201,7 +203,7 @@ def update_retrieval(spark, d):
     return _updates(spark, d).select("acc", "status", _text("exons").alias("exons"))
 
 
-_APPLIED = """ap AS (SELECT gene_id, model_id, CASE WHEN acc % 2 = 1 AND acc % 5 = 0 THEN wide ELSE exons END AS exons, CASE WHEN acc % 2 = 1 AND acc % 5 = 0 THEN 'updated' ELSE 'kept' END AS origin FROM oc
+_APPLIED = """ap AS MATERIALIZED (SELECT gene_id, model_id, CASE WHEN acc % 2 = 1 AND acc % 5 = 0 THEN wide ELSE exons END AS exons, CASE WHEN acc % 2 = 1 AND acc % 5 = 0 THEN 'updated' ELSE 'kept' END AS origin FROM oc
 UNION ALL SELECT gene_id, gene_id || '.' || acc, wide, 'isoform' FROM oc WHERE acc % 2 = 1 AND acc % 5 = 1 UNION ALL SELECT 'novel.' || acc, 'novel.' || acc || '.1', wide, 'novel' FROM oc WHERE acc % 2 = 1 AND acc % 5 = 2)"""
 
 
@@ -227,7 +229,7 @@ def purge_comparison(spark, d):
     return update.purged(outcomes(spark, d), "compare_id", gone).select("acc")
 
 
-@query("""WITH a AS (SELECT l_orderkey AS acc, CASE WHEN l_returnflag = 'R' THEN 'splice sites' WHEN l_quantity > 40 THEN 'intron too long' ELSE 'too little aligned' END AS error FROM lineitem WHERE l_linenumber <= 4),
+@query("""WITH a AS (SELECT l_orderkey AS acc, CASE WHEN l_returnflag = 'R' THEN 'splice sites' WHEN l_quantity > 40 THEN 'intron too long' ELSE 'too little aligned' END AS error FROM lineitem),
 n AS (SELECT acc, error, count(*) AS n FROM a GROUP BY acc, error), t AS (SELECT acc, error FROM n QUALIFY row_number() OVER (PARTITION BY acc ORDER BY n DESC, error) = 1),
 v AS (SELECT DISTINCT l_orderkey AS acc FROM lineitem WHERE l_quantity < 20), c AS (SELECT DISTINCT l_orderkey AS acc FROM lineitem WHERE l_quantity < 15), s AS (SELECT DISTINCT l_orderkey AS acc FROM lineitem WHERE l_quantity < 5)
 SELECT o_orderkey AS acc, CASE WHEN o_orderkey IN (SELECT acc FROM s) THEN NULL WHEN t.acc IS NULL THEN 'not aligned' WHEN o_orderkey NOT IN (SELECT acc FROM v) THEN 'invalid: ' || t.error WHEN o_orderkey NOT IN (SELECT acc FROM c) THEN 'in no cluster' ELSE 'not assembled' END AS reason
@@ -235,5 +237,5 @@ FROM orders LEFT JOIN t ON t.acc = o_orderkey""")
 def failure_reasons(spark, d):
     li = table(spark, d, "lineitem").withColumn("acc", F.col("l_orderkey"))
     error = F.when(F.col("l_returnflag") == "R", "splice sites").when(F.col("l_quantity") > 40, "intron too long").otherwise("too little aligned")
-    aligned = li.where("l_linenumber <= 4").select("acc", error.alias("error"))
+    aligned = li.select("acc", error.alias("error"))
     return update.failure_reason(table(spark, d, "orders").select(F.col("o_orderkey").alias("acc")), aligned, li.where("l_quantity < 20"), li.where("l_quantity < 15"), li.where("l_quantity < 5"))
