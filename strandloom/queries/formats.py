@@ -104,3 +104,18 @@ def wiggle_round_trip(spark, d):
     tracks = table(spark, d, "lineitem").groupBy("l_orderkey").agg(values.alias("v"))
     lines = tracks.select(F.concat(F.lit("fixedStep chrom=o"), F.col("l_orderkey").cast("string"), F.lit(" start=10 step=5\n"), F.col("v")).alias("value"))
     return fm.wiggle(fm.split_lines(spark, _written(lines, spark)))
+
+
+@query(f"""{SEG}, p AS (SELECT *, CASE WHEN lend % 4 < 3 THEN lend % 4 END AS phase, CASE WHEN strand = '-' THEN -lend ELSE lend END AS along FROM seg),
+q AS (SELECT *, first_value(phase) OVER w AS first, coalesce(sum(rend - lend + 1) OVER (PARTITION BY contig, acc, strand ORDER BY along ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+  lead(lend) OVER (PARTITION BY contig, acc, strand ORDER BY lend) - rend - 1 AS gap FROM p WINDOW w AS (PARTITION BY contig, acc, strand ORDER BY along)),
+b AS (SELECT contig, acc, bool_or(phase IS NULL) AS none, coalesce(bool_or(phase <> ((coalesce(first, 0) - before) % 3 + 3) % 3), false) AS off, coalesce(bool_or(gap = 0), false) AS zero, coalesce(bool_or(gap BETWEEN 1 AND 19), false) AS short FROM q GROUP BY contig, acc, strand)
+SELECT 'c' || contig AS contig, CAST(acc AS VARCHAR) AS transcript_id, '17,19' || CASE WHEN none THEN ',40' ELSE '' END || CASE WHEN off THEN ',42' ELSE '' END || CASE WHEN zero THEN ',48' ELSE '' END || CASE WHEN short THEN ',49' ELSE '' END AS codes FROM b""")
+def gtf_transcript_errors(spark, d):
+    """The orders' structures as coding parts without codons, with phases that are right now and then: what is wrong with each."""
+    from strandloom.sources.gtf_checks import transcript_errors
+
+    phase = F.when(F.col("lend") % 4 < 3, (F.col("lend") % 4).cast("string")).otherwise(".")
+    text = F.format_string('gene_id "%s"; transcript_id "%s";', F.col("acc").cast("string"), F.col("acc").cast("string"))
+    lines = structures(spark, d).select(F.concat_ws("\t", F.concat(F.lit("c"), F.col("contig").cast("string")), F.lit("s"), F.lit("CDS"), F.col("lend").cast("string"), F.col("rend").cast("string"), F.lit("."), F.col("strand"), phase, text).alias("value"))
+    return transcript_errors(lines).select("contig", "transcript_id", F.array_join(F.col("codes").cast("array<string>"), ",").alias("codes"))
