@@ -26,6 +26,8 @@ from strandloom.plans.lineage import stored
 
 #: Labelled rows that a fit uses at most.
 SAMPLE = 20_000
+#: Rows of an Arrow batch that a worker takes apart and gives back at a time.
+STEP = 512
 STATS = (
     "log_words", "word_length", "upper", "digits", "stops", "symbols", "bars", "shouts", "foreign",
     "repeats", "distinct", "top_word", "line_words", "line_copies", "marked_words",
@@ -58,14 +60,18 @@ def text_statistics(text: str) -> list[float]:
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id_col, *keep, *STATS) of every row."""
-    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("__text"), id_col, *keep)
-    out = ", ".join([f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in (id_col, *keep)] + [f"{s} double" for s in STATS])
+    """(id_col, *keep, *STATS) of every row. A text that is kept goes through the workers once, and only some rows of a batch are taken apart at a time."""
+    own = (id_col, *keep)
+    rows = docs.select(*own, *(() if text_col in own else (text_col,)))
+    at = rows.columns.index(text_col)
+    out = ", ".join([f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in own] + [f"{s} double" for s in STATS])
 
     def run(batches):
         for batch in batches:
-            got = np.array([text_statistics(t) for t in batch.column(0).to_pylist()], np.float64).reshape(-1, len(STATS))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *map(pa.array, got.T)], [id_col, *keep, *STATS])
+            for begin in range(0, batch.num_rows, STEP):
+                part = batch.slice(begin, STEP)
+                got = np.array([text_statistics(t or "") for t in part.column(at).to_pylist()], np.float64)
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(own)], *map(pa.array, got.T)], [*own, *STATS])
 
     return rows.mapInArrow(run, out)
 
