@@ -16,3 +16,10 @@ def optimized(df):
 def test_filters_over_parsed_hits_do_not_parse_again(spark):
     rows = spark.range(3).select(F.concat_ws("\t", *[F.col("id").cast("string")] * 21).alias("value"))
     assert optimized(events.filtered_hits(formats.psl(rows), 90, 20, "+")).count("split(") == 4  # the line and its three lists
+
+
+def test_sample_is_dealt_by_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(lineage, "ROWS", 10)
+    rows = spark.range(500).select((F.col("id") % 50).alias("contig"), "id", F.col("id").cast("int").alias("lend"), F.col("id").cast("int").alias("rend"), F.lit(1.0).alias("score"))
+    assert lineage.dealt(rows, "contig").rdd.getNumPartitions() == 50
+    assert intervals.stratified_sample(rows, ("contig",), 3, 100).count() == 150
