@@ -23,3 +23,13 @@ def test_sample_is_dealt_by_its_rows(spark, monkeypatch):
     rows = spark.range(500).select((F.col("id") % 50).alias("contig"), "id", F.col("id").cast("int").alias("lend"), F.col("id").cast("int").alias("rend"), F.lit(1.0).alias("score"))
     assert lineage.dealt(rows, "contig").rdd.getNumPartitions() == 50
     assert intervals.stratified_sample(rows, ("contig",), 3, 100).count() == 150
+
+
+def test_components_deal_more_rows_to_more_tasks(spark, monkeypatch):
+    name, seen = "spark.sql.shuffle.partitions", []
+    was = spark.conf.get(name)
+    monkeypatch.setattr(lineage, "ROWS", 2)
+    inner = components.stored
+    monkeypatch.setattr(components, "stored", lambda df: seen.append(int(spark.conf.get(name))) or inner(df))
+    got = components.connected_components(spark.range(200).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst")))
+    assert {r.component for r in got.collect()} == {0} and max(seen) >= 200 and spark.conf.get(name) == was
