@@ -18,6 +18,14 @@ def test_filters_over_parsed_hits_do_not_parse_again(spark):
     assert optimized(events.filtered_hits(formats.psl(rows), 90, 20, "+")).count("split(") == 4  # the line and its three lists
 
 
+def test_gtf_lines_are_parsed_once(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(gtf_checks, "stored", lambda df: kept.append(df) or lineage.stored(df))
+    line = "c\ts\tCDS\t1\t9\t.\t+\t0\tgene_id \"g\"; transcript_id \"t\";"
+    got = gtf_checks.transcript_errors(spark.createDataFrame([(line,)], "value string"))
+    assert len(kept) == 1 and "split(" not in optimized(got)
+
+
 def test_sample_is_dealt_by_its_rows(spark, monkeypatch):
     monkeypatch.setattr(lineage, "ROWS", 10)
     rows = spark.range(500).select((F.col("id") % 50).alias("contig"), "id", F.col("id").cast("int").alias("lend"), F.col("id").cast("int").alias("rend"), F.lit(1.0).alias("score"))
