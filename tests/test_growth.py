@@ -41,3 +41,13 @@ def test_components_deal_more_rows_to_more_tasks(spark, monkeypatch):
     monkeypatch.setattr(components, "stored", lambda df: seen.append(int(spark.conf.get(name))) or inner(df))
     got = components.connected_components(spark.range(200).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst")))
     assert {r.component for r in got.collect()} == {0} and max(seen) >= 200 and spark.conf.get(name) == was
+
+
+def test_gene_clusters_link_genes_only(spark, monkeypatch):
+    links, inner = [], graph.connected_components
+    monkeypatch.setattr(graph, "connected_components", lambda e, a, b: links.extend(e.collect()) or inner(e, a, b))
+    iv = spark.createDataFrame([(1, i, 10, 20, "+") for i in range(20)] + [(1, 30, 90, 95, "+")], "contig long, id long, lend int, rend int, strand string")
+    genes = spark.createDataFrame([(1, 7, 1, 25), (1, 8, 5, 30)], "contig long, id long, lend int, rend int")
+    got = {r.id: r.cluster for r in graph.gene_clusters(iv, genes).collect()}
+    assert got == {i: "gene:0" for i in range(20)} | {30: "pile:1:1"}
+    assert {tuple(r) for r in links} == {(7, 8)}
