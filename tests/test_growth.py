@@ -51,3 +51,11 @@ def test_gene_clusters_link_genes_only(spark, monkeypatch):
     got = {r.id: r.cluster for r in graph.gene_clusters(iv, genes).collect()}
     assert got == {i: "gene:0" for i in range(20)} | {30: "pile:1:1"}
     assert {tuple(r) for r in links} == {(7, 8)}
+
+
+def test_triangles_against_all_triples(spark):
+    links = {(a, b) for a, b in combinations(range(40), 2) if (a * 7 + b * 11) % 3 == 0}
+    want = {t for t in combinations(range(40), 3) if all(p in links for p in combinations(t, 2))}
+    df = spark.createDataFrame(sorted(links), "a int, b int")
+    got = graph.triangles(df.select(F.col("a").alias("u"), F.col("b").alias("v")), df, 3).collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
