@@ -4,7 +4,7 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from strandloom.operators import events, graph, intervals
+from strandloom.operators import events, folds, graph, intervals
 from strandloom.plans import components, lineage
 from strandloom.sources import formats, gtf_checks
 
@@ -59,3 +59,20 @@ def test_triangles_against_all_triples(spark):
     df = spark.createDataFrame(sorted(links), "a int, b int")
     got = graph.triangles(df.select(F.col("a").alias("u"), F.col("b").alias("v")), df, 3).collect()
     assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_folded_models_store_no_bases(spark):
+    one = {"gene_id": "g", "kind": 0, "id": "m", "strand": "+", "lend": 1, "bases": "ACGT", "taken": False}
+    rows = folds._rows(spark.createDataFrame([("c",)], "contig string"), **{n: F.lit(v) for n, v in one.items()})
+    got = folds._pass(rows, folds.merge).first()
+    assert (got.id, got.lend, got.bases) == ("m", 1, None)
+
+
+def test_tables_stored_on_the_way_are_deleted(spark):
+    def make():
+        rows = lineage.stored(lineage.stored(spark.range(4)))
+        return rows.where("id < 2"), rows.where("id > 0")
+
+    since = lineage.mark()
+    few, more = lineage.settled_all(spark, make)
+    assert lineage.mark() - since == 2 and (few.count(), more.count()) == (2, 3)
