@@ -12,7 +12,7 @@ each structure comes from the best scores up to it and from it on. Paths are tak
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -48,6 +48,8 @@ def holds(path: list[Exon], s: Segments, fuzz: int = FUZZ) -> bool:
     for k, e in enumerate(path):
         if k + len(s) > len(path):
             return False
+        if len(s) > 1 and e[1] != s[0][1]:
+            continue
         last = path[k + len(s) - 1]
         sites = all(path[k + i][1] == s[i][1] and path[k + i + 1][0] == s[i + 1][0] for i in range(len(s) - 1))
         if sites and e[0] - fuzz <= s[0][0] and s[-1][1] <= last[1] + fuzz and (len(s) > 1 or s[0][0] <= e[1] and s[0][1] >= e[0]):
@@ -58,14 +60,34 @@ def holds(path: list[Exon], s: Segments, fuzz: int = FUZZ) -> bool:
 def _evidence(exons: list[Exon], structures: list[Segments], fuzz: int) -> tuple[list[int], dict[tuple[int, int], int]]:
     """Which structures, as bits, an exon and an intron have."""
     by_exon, by_intron = [0] * len(exons), {}
+    begins, ends, whole = {}, {}, {}  # exons by the sites that they have
+    for k, (l, r, kind) in enumerate(exons):
+        if kind != LEFT:
+            begins.setdefault(l, []).append((k, r))
+        if kind != RIGHT:
+            ends.setdefault(r, []).append((k, l))
+        if kind == INNER:
+            whole[l, r] = k
     for n, s in enumerate(structures):
+        bit = 1 << n
+        if len(s) == 1:
+            a, b = s[0]
+            for k, (l, r, _) in enumerate(exons):
+                if l <= a + fuzz and r >= b - fuzz and a <= r and b >= l:
+                    by_exon[k] |= bit
+            continue
         for i in introns(s):
-            by_intron[i] = by_intron.get(i, 0) | 1 << n
-        for k, (l, r, kind) in enumerate(exons):
-            for i, (a, b) in enumerate(s):
-                first, last = i == 0, i == len(s) - 1
-                if (l <= a + fuzz if first else l == a and kind != LEFT) and (r >= b - fuzz if last else r == b and kind != RIGHT) and a <= r and b >= l:
-                    by_exon[k] |= 1 << n
+            by_intron[i] = by_intron.get(i, 0) | bit
+        (a, b), (x, y) = s[0], s[-1]
+        for k, l in ends.get(b, ()):
+            if l <= a + fuzz and a <= b >= l:
+                by_exon[k] |= bit
+        for k, r in begins.get(x, ()):
+            if r >= y - fuzz and x <= r and y >= x:
+                by_exon[k] |= bit
+        for e in s[1:-1]:
+            if e in whole and e[0] <= e[1]:
+                by_exon[whole[e]] |= bit
     return by_exon, by_intron
 
 
@@ -80,9 +102,14 @@ def _edges(exons: list[Exon], by_intron: dict[tuple[int, int], int]) -> list[tup
     return sorted((a, b, bits) for (l, r), bits in by_intron.items() for a in ends.get(l, ()) for b in begins.get(r, ()))
 
 
-def best_paths(exons: list[Exon], structures: list[Segments], fuzz: int = FUZZ) -> tuple[list[tuple[int, list[int]]], list[tuple[int, list[int]]]]:
+def _best(paths: list[tuple[int, list[int]]]) -> tuple[int, list[int]]:
+    """The path of the highest score, of equal ones that of the earlier exons."""
+    return paths[0] if len(paths) == 1 else max(paths, key=lambda p: (p[0], [-x for x in p[1]]))
+
+
+def best_paths(exons: list[Exon], structures: list[Segments], fuzz: int = FUZZ, evidence=None) -> tuple[list[tuple[int, list[int]]], list[tuple[int, list[int]]]]:
     """The best path that ends at each exon, and the best one that begins there, as (score, exons); a path's score is that of ``path_score``."""
-    by_exon, by_intron = _evidence(exons, structures, fuzz)
+    by_exon, by_intron = evidence or _evidence(exons, structures, fuzz)
     edges = _edges(exons, by_intron)
     into: list[list[tuple[int, int]]] = [[] for _ in exons]
     onto: list[list[tuple[int, int]]] = [[] for _ in exons]
@@ -95,14 +122,14 @@ def best_paths(exons: list[Exon], structures: list[Segments], fuzz: int = FUZZ)
     down: list[tuple[int, list[int]]] = [(0, [])] * len(exons)
     for k in order:
         start = by_exon[k].bit_count()
-        up[k] = max([(up[a][0] + g, [*up[a][1], k]) for a, g in into[k]] or [(start, [k])], key=lambda p: (p[0], [-x for x in p[1]]))
+        up[k] = _best([(up[a][0] + g, [*up[a][1], k]) for a, g in into[k]] or [(start, [k])])
     for k in reversed(order):  # the score of what comes behind k
-        down[k] = max([(g + down[b][0], [k, *down[b][1]]) for b, g in onto[k]] or [(0, [k])], key=lambda p: (p[0], [-x for x in p[1]]))
+        down[k] = _best([(g + down[b][0], [k, *down[b][1]]) for b, g in onto[k]] or [(0, [k])])
     return up, down
 
 
-def path_score(path: list[int], exons: list[Exon], structures: list[Segments], fuzz: int = FUZZ) -> int:
-    by_exon, by_intron = _evidence(exons, structures, fuzz)
+def path_score(path: list[int], exons: list[Exon], structures: list[Segments], fuzz: int = FUZZ, evidence=None) -> int:
+    by_exon, by_intron = evidence or _evidence(exons, structures, fuzz)
     out = by_exon[path[0]].bit_count()
     for a, b in zip(path, path[1:]):
         out += ((by_intron[exons[a][1] + 1, exons[b][0] - 1] | by_exon[b]) & ~by_exon[a]).bit_count()
@@ -126,18 +153,23 @@ def through(s: Segments, exons: list[Exon], up: list, down: list, scored, fuzz:
 
 def assemble_graph(structures: list[Segments], fuzz: int = FUZZ) -> list[tuple[Segments, list[int]]]:
     """(segments, members) of one strand's assemblies; structures of one exon that no path holds are united where they overlap."""
+    if len(structures) == 1 and all(a[1] < b[0] for a, b in zip(structures[0], structures[0][1:])):
+        return [(list(structures[0]), [0])]
     many = [s for s in structures if len(s) > 1]
     exons = exons_of(many, fuzz)
-    up, down = best_paths(exons, structures, fuzz)
+    # which structures an exon and an intron have is found once for all paths
+    evidence = _evidence(exons, structures, fuzz)
+    up, down = best_paths(exons, structures, fuzz, evidence)
     paths: dict[tuple[int, ...], int] = {}
     for s in many:
-        got = through(s, exons, up, down, lambda p: path_score(p, exons, structures, fuzz), fuzz)
+        got = through(s, exons, up, down, lambda p: path_score(p, exons, structures, fuzz, evidence), fuzz)
         if got:
             paths[tuple(got[1])] = got[0]
     out, seen = [], set()
     for path in sorted(paths, key=lambda p: (-paths[p], p)):
         nodes = [exons[k] for k in path]
-        members = [n for n, s in enumerate(structures) if holds(nodes, s, fuzz)]
+        sites = {e[1] for e in nodes}
+        members = [n for n, s in enumerate(structures) if (len(s) == 1 or s[0][1] in sites) and holds(nodes, s, fuzz)]
         if not seen.issuperset(members):
             seen.update(members)
             out.append(([(l, r) for l, r, _ in nodes], members))
@@ -157,36 +189,45 @@ def graph_assemblies(structures: DataFrame, fuzz: int = FUZZ) -> DataFrame:
     of strand '?' counts as '+'; number is by size, then by segments."""
     c = F.col
     known = structures.withColumn("strand", F.when(c("strand") == "-", "-").otherwise("+"))
-    spans = known.select("*", F.element_at("segments", 1)["lend"].alias("lend"), F.element_at("segments", -1)["rend"].alias("rend"), c("acc").alias("id"))
+    # piles read their rows three times
+    spans = stored(known.select("contig", "acc", "strand", "segments")).select("*", F.element_at("segments", 1)["lend"].alias("lend"), F.element_at("segments", -1)["rend"].alias("rend"), c("acc").alias("id"))
     piled = piles(spans, ("contig", "strand"))
-    # equal structures are one row
-    rows = stored(piled.groupBy("contig", "strand", "pile", F.transform("segments", lambda e: F.array(e["lend"].cast("int"), e["rend"].cast("int"))).alias("segments")).agg(F.sort_array(F.collect_list("acc")).alias("accs")))
+    # equal structures are one row; their ends follow one another in one flat list, which Python reads and writes faster than nested ones
+    flat = F.flatten(F.transform("segments", lambda e: F.array(e["lend"].cast("int"), e["rend"].cast("int"))))
+    names = ["contig", "strand", "pile"]
+    rows = stored(piled.groupBy(*names, flat.alias("segments")).agg(F.sort_array(F.collect_list("acc")).alias("accs")))
     kind, acc = structures.schema["contig"].dataType.simpleString(), structures.schema["acc"].dataType.simpleString()
-    schema = f"contig {kind}, strand string, pile bigint, segments array<array<int>>, accs array<{acc}>"
+    schema = f"contig {kind}, strand string, pile bigint, number int, accs array<{acc}>, size int, segments string"
     arrow = to_arrow_schema(structures.sparkSession.createDataFrame([], schema).schema)
 
-    def solved(held: list[dict]) -> list[dict]:
-        found = assemble_graph([[tuple(e) for e in r["segments"]] for r in held], fuzz)
-        return [held[0] | {"segments": s, "accs": sorted(a for n in got for a in held[n]["accs"])} for s, got in found]
-
     def run(batches):
-        key, held, out = None, [], []
+        key, held, accs, out = None, [], [], []
+
+        def close() -> None:
+            found = [(sorted(a for n in got for a in accs[n]), s) for s, got in assemble_graph(held, fuzz)] if held else []
+            found.sort(key=lambda f: (-len(f[0]), f[1]))
+            out.extend((*key, number, own, len(own), ",".join(f"{l}-{r}" for l, r in s)) for number, (own, s) in enumerate(found, 1))
+
+        def made() -> pa.RecordBatch:
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*out), arrow)]
+            out.clear()
+            return pa.RecordBatch.from_arrays(columns, schema=arrow)
+
         for batch in batches:
-            for row in batch.to_pylist():
-                own = (row["contig"], row["strand"], row["pile"])
+            cells = [batch.column(k).to_pylist() for k in range(3)]
+            ends, at = (batch.column(3).flatten().to_pylist(), [x - batch.column(3).offsets[0].as_py() for x in batch.column(3).offsets.to_pylist()])
+            for i, (own, got) in enumerate(zip(zip(*cells), batch.column(4).to_pylist())):
                 if own != key:
-                    out += solved(held) if held else []
-                    key, held = own, []
-                held.append(row)
+                    close()
+                    key, held, accs = own, [], []
+                parts = iter(ends[at[i] : at[i + 1]])
+                held.append(list(zip(parts, parts)))
+                accs.append(got)
             if len(out) >= 500:
-                yield pa.RecordBatch.from_pylist(out, arrow)
-                out = []
-        out += solved(held) if held else []
+                yield made()
+        close()
         if out:
-            yield pa.RecordBatch.from_pylist(out, arrow)
+            yield made()
 
-    names = ["contig", "strand", "pile"]
-    made = spread(rows, *names).sortWithinPartitions(*names, "segments").select(*names, "segments", "accs").mapInArrow(run, schema)
-    text = F.array_join(F.transform("segments", lambda e: F.concat_ws("-", e[0].cast("string"), e[1].cast("string"))), ",")
-    number = F.row_number().over(Window.partitionBy(*names).orderBy(F.size("accs").desc(), "segments"))
-    return made.select("contig", "pile", "strand", number.alias("number"), F.array_join(c("accs").cast("array<string>"), ",").alias("members"), F.size("accs").alias("size"), text.alias("segments"))
+    solved = spread(rows, *names).sortWithinPartitions(*names, "segments").select(*names, "segments", "accs").mapInArrow(run, schema)
+    return solved.select("contig", "pile", "strand", "number", F.array_join(c("accs").cast("array<string>"), ",").alias("members"), "size", "segments")

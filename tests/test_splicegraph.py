@@ -91,3 +91,10 @@ def test_two_forms_and_singles(spark):
         (1, 1, "-", 1, "5", 1, "100-600"), (2, 1, "+", 1, "7,8", 2, "1-90"),
     ]
     assert sg.graph_assemblies(df.where("false")).count() == 0
+
+
+def test_evidence_is_gathered_once(monkeypatch):
+    calls, inner = [], sg._evidence
+    monkeypatch.setattr(sg, "_evidence", lambda *a: calls.append(1) or inner(*a))
+    sg.assemble_graph([[(1, 50), (100, 150), (200, 250)], [(10, 50), (200, 240)], [(120, 150), (200, 230)]])
+    assert len(calls) == 1
