@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from strandloom.operators import events, folds, graph, intervals
 from strandloom.plans import components, lineage
+from strandloom.queries import annotation as queries_annotation
+from strandloom.queries import events as queries_events
+from strandloom.queries import models as queries_models
 from strandloom.sources import formats, gtf_checks
 
 
@@ -76,3 +79,9 @@ def test_tables_stored_on_the_way_are_deleted(spark):
     since = lineage.mark()
     few, more = lineage.settled_all(spark, make)
     assert lineage.mark() - since == 2 and (few.count(), more.count()) == (2, 3)
+
+
+def test_models_that_are_read_again_are_made_once(spark):
+    d = "/root/testdata/sf0.001"
+    for made in (queries_models.gene_gtf_round_trip, queries_annotation.coded, queries_events.annotation_update):
+        assert not [f for f in made(spark, d).inputFiles() if "lineitem" in f]
