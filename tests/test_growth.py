@@ -4,7 +4,7 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from strandloom.operators import events, folds, graph, intervals
+from strandloom.operators import assemble, events, folds, graph, intervals
 from strandloom.plans import components, lineage
 from strandloom.queries import annotation as queries_annotation
 from strandloom.queries import events as queries_events
@@ -85,3 +85,11 @@ def test_models_that_are_read_again_are_made_once(spark):
     d = "/root/testdata/sf0.001"
     for made in (queries_models.gene_gtf_round_trip, queries_annotation.coded, queries_events.annotation_update):
         assert not [f for f in made(spark, d).inputFiles() if "lineitem" in f]
+
+
+def test_structures_are_stored_before_piles_read_them(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(assemble, "stored", lambda df: kept.append(df.columns) or lineage.stored(df))
+    row = "1 AS contig, 7 AS acc, '+' AS strand, array(named_struct('lend', 1, 'rend', 9)) AS segments, 9D AS score"
+    assert assemble.assemblies(spark.sql(f"SELECT {row}")).count() == 1
+    assert kept[0] == ["contig", "acc", "strand", "segments", "score"]
