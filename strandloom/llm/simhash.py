@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.plans.components import connected_components
-from strandloom.plans.lineage import spread, stored
+from strandloom.plans.lineage import shuffled, spread, stored
 
 BITS, SHINGLE, SEED = 4, 4, 42
 #: First bit and width of the three segments.
@@ -107,7 +107,7 @@ def segment_links(fps: DataFrame, bits: int, apart: tuple[str, ...] = (), also:
     condition += "".join(f" AND (a.{c} <> b.{c} OR a.{c} = 0)" for c in apart)
     condition += "".join(f" AND bit_count(a.{c} ^ b.{c}) <= {bits}" for c in also)
     ends = [F.col(f"{t}.{c}").alias(f"{name}_{c}") for c in (*apart, *also) for t, name in (("a", "src"), ("b", "dst"))]
-    return a.join(b, F.expr(condition)).select(F.col("a.fp").alias("src"), F.col("b.fp").alias("dst"), *ends)
+    return shuffled(a).join(b, F.expr(condition)).select(F.col("a.fp").alias("src"), F.col("b.fp").alias("dst"), *ends)
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
