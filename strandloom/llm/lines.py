@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.llm.rows import Rows
-from strandloom.plans.lineage import spread, stored
+from strandloom.plans.lineage import shuffled, spread, stored
 
 #: How often a round halves the part of a line that may differ, and how many characters of it variants may delete from.
 DEPTH, WINDOW = 4, 32
@@ -126,9 +126,9 @@ def _near_earlier(first: DataFrame, rows: Rows) -> DataFrame:
     place = F.struct("a", "b").alias("at")
     variants = near.where("window <> ''").select("me", place, F.explode(rest).alias("v")).select("me", "at", "v.place", "v.rest")
     earliest = variants.groupBy("place", "rest").agg(F.min("me").alias("other"), F.count("*").alias("n")).where("n > 1").drop("n")
-    swapped = variants.join(earliest, ["place", "rest"]).where(F.col("me.pos") > F.col("other.pos")).select("me", "other", "at")
+    swapped = shuffled(variants).join(earliest, ["place", "rest"]).where(F.col("me.pos") > F.col("other.pos")).select("me", "other", "at")
     whole = near.select(F.col("me").alias("other"), F.xxhash64("key", "window").alias("rest"))
-    grown = variants.join(whole, "rest")
+    grown = shuffled(variants).join(whole, "rest")
     grown = grown.select(F.greatest("me", "other").alias("me"), F.least("me", "other").alias("other"), "at")
     # partners have their window at one place, which their key holds
     pairs = swapped.unionByName(grown).where("me.pos > other.pos").groupBy("me", "other").agg(F.min("at").alias("at"))
@@ -139,8 +139,8 @@ def _near_earlier(first: DataFrame, rows: Rows) -> DataFrame:
     equal = (F.left(F.col("later"), front) == F.left(F.col("earlier"), front)) & (F.right(F.col("later"), back) == F.right(F.col("earlier"), back))
     verified = (
         pairs.select("me.h1", "me.h2", F.col("other.h1").alias("b1"), F.col("other.h2").alias("b2"), "at")
-        .join(a, (F.col("h1") == F.col("a1")) & (F.col("h2") == F.col("a2")))
-        .join(b, ["b1", "b2"])
+        .join(shuffled(a), (F.col("h1") == F.col("a1")) & (F.col("h2") == F.col("a2")))
+        .join(shuffled(b), ["b1", "b2"])
         .where(equal & (F.levenshtein(inner("later"), inner("earlier"), 1) >= 0))
     )
     return verified.select("h1", "h2").distinct()

@@ -190,14 +190,14 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def alike(pairs: DataFrame) -> DataFrame:
         """The (src, dst) whose sets are alike; first by size and by all fingerprints, which needs no text."""
         bits = " + ".join(f"bit_count(a.{c} ^ b.{c})" for c in names)
-        sized = pairs.join(nodes.alias("a"), F.expr("src = a.node")).join(nodes.alias("b"), F.expr("dst = b.node"))
+        sized = pairs.join(shuffled(nodes).alias("a"), F.expr("src = a.node")).join(shuffled(nodes).alias("b"), F.expr("dst = b.node"))
         near = f"least(a.size, b.size) >= {least} * greatest(a.size, b.size) - 1e-9 AND {bits} <= {int(MOST_APART * 64 * PRINTS)}"
         near = stored(sized.where(near).select("src", "dst").distinct())
         ends = near.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-        wanted = ends.join(nodes.select("node", "text_key"), "node")
+        wanted = ends.join(shuffled(nodes.select("node", "text_key")), "node")
         texts = keyed.select("text_key", "text").join(wanted, "text_key").select("node", "text").dropDuplicates(["node"])
         of = stored(texts.mapInArrow(sets, "node bigint, set array<bigint>"))
-        both = near.join(of.select(F.col("node").alias("src"), F.col("set").alias("a")), "src").join(of.select(F.col("node").alias("dst"), F.col("set").alias("b")), "dst")
+        both = near.join(shuffled(of.select(F.col("node").alias("src"), F.col("set").alias("a"))), "src").join(shuffled(of.select(F.col("node").alias("dst"), F.col("set").alias("b"))), "dst")
         shared = both.select("src", "dst", F.size(F.array_intersect("a", "b")).alias("n"), (F.size("a") + F.size("b")).alias("all"))
         return shared.where(f"n >= {least} * (all - n) - 1e-9").select("src", "dst")
 
@@ -205,7 +205,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keys = [F.struct(F.lit(i).alias("i"), F.shiftrightunsigned(names[r], at).bitwiseAND(F.lit(mask).cast("long")).alias("v")) for i, (r, at, mask) in enumerate(segments)]
     index = nodes.select("node", F.explode(F.array(*keys)).alias("k")).select("node", "k.i", "k.v")
     lows = index.groupBy("i", "v").agg(F.min("node").alias("dst"), F.count("*").alias("n")).where("n > 1").drop("n")
-    stars = stored(alike(index.join(lows, ["i", "v"]).where("node > dst").select(F.col("node").alias("src"), "dst").distinct()))
+    stars = stored(alike(shuffled(index).join(lows, ["i", "v"]).where("node > dst").select(F.col("node").alias("src"), "dst").distinct()))
     found = connected_components(stars)
     group = F.coalesce(F.col("component"), F.lit(0)).alias("g")
     grouped = stored(nodes.join(found.withColumnRenamed("node", "__n"), F.expr("node = __n"), "left").select("node", group, *names))
@@ -213,7 +213,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     for c, check in zip(names, names[1:] + names[:1]):
         of = grouped.select("node", F.col(c).alias("fp"), F.col(check).alias("check"), "g")
         pairs = segment_links(of.select("fp", "check", "g").distinct(), REACH, ("g",), ("check",))
-        a, b = of.alias("x"), of.alias("y")
+        a, b = shuffled(of).alias("x"), shuffled(of).alias("y")
         met = pairs.join(a, F.expr("src = x.fp AND src_g = x.g AND src_check = x.check")).join(b, F.expr("dst = y.fp AND dst_g = y.g AND dst_check = y.check"))
         same = a.join(b, F.expr("x.fp = y.fp AND x.node < y.node AND (x.g <> y.g OR x.g = 0)"))
         ends = [F.least("x.node", "y.node").alias("src"), F.greatest("x.node", "y.node").alias("dst")]
