@@ -1,4 +1,4 @@
-"""The training set's counts of k-mers and its open frames, and contigs that are made in many tasks."""
+"""Counts of k-mers, open frames, and contigs that are made in many tasks."""
 
 import random
 from collections import Counter
@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from strandloom.functions import seq
 from strandloom.plans.lineage import stored
-from strandloom.sources.tables import contig_kinds, contig_sequences, table
+from strandloom.operators import contig, gene
+from strandloom.operators.validate import tiles
+from strandloom.sources.tables import contig_kinds, contig_sequences, locus_sequences, locus_transcripts, table
 from tests.llm.test_broadcasts import exploded_broadcasts
 
 D = "/root/testdata/sf0.01"
@@ -59,12 +61,51 @@ def test_scores_broadcast_no_occurrences(spark):
     assert {r.frame: r.score for r in scores.collect()} == {1: 1.5, 2: 1.5}
 
 
-def test_frames_of_short_sequences(monkeypatch):
+def test_closed_frames_as_by_codons():
     r, stops = random.Random(2), frozenset(seq.stop_codons())
-    for _ in range(500):
-        text = "".join(r.choice("ATGN") for _ in range(r.randrange(120)))
+    for n in range(2000):
+        text = "".join(r.choice("ATGN" if n % 2 else "ACGT") for _ in range(r.randrange(120)))
         for least in (0, 6, 7, 30):
-            monkeypatch.setattr(seq, "SHORT", 2000)
-            got = seq.open_frames(text, least, stops)
-            monkeypatch.setattr(seq, "SHORT", -1)
-            assert got == seq.open_frames(text, least, stops)
+            want = []
+            for frame in range(3):
+                start = None
+                for i in range(frame, len(text) - 2, 3):
+                    codon = text[i : i + 3]
+                    start = i if start is None and codon == "ATG" else start
+                    if codon in stops:
+                        if start is not None and i + 3 - start >= least:
+                            want.append((start + 1, i + 3, frame + 1))
+                        start = None
+            got = seq.open_frames(text, least, stops, strands="+")
+            assert [(o["lend"], o["rend"], o["frame"]) for o in got] == sorted(want, key=lambda w: (w[0] - w[1], w[0])) and all(o["complete"] for o in got)
+
+
+def test_frames_of_structures_as_by_columns(spark):
+    """As column functions say it, structures that begin before their contig included."""
+    d = "/root/testdata/sf0.001"
+    seqs = stored(locus_sequences(spark, d))
+    rows = stored(locus_transcripts(spark, d))
+    c = F.col
+    held = gene.with_sequences(rows.withColumn("cds", gene.none()), seqs).drop("cds", "coding", "protein")
+    held = held.withColumn("o", F.get(F.filter(seq.orfs(c("cdna"), 30), lambda o: o["strand"] == "+"), F.lit(0)))
+    coding = F.substring("cdna", c("o.lend"), c("o.rend") - c("o.lend") + 1)
+    none = c("o").isNull()
+    want = held.withColumns({"cds": F.when(~none, gene.within(c("exons"), c("strand"), c("o.lend"), c("o.rend"))), "protein": F.when(~none, seq.translate(coding))}).drop("o")
+    got = contig.with_frames(rows, None, tiled=tiles(seqs))
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    shown = lambda df: sorted(map(str, df.collect()))
+    found = shown(got)
+    assert found == shown(want) and sum("cds=None" in x for x in found) < len(found)
+    assert rows.where("exons[0].lend < 1").count()
+
+
+def test_contigs_of_loci_are_made_in_many_tasks(spark):
+    seqs = locus_sequences(spark, D)
+    tasks = seqs.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 4
+    letters = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]", "")
+    docs = table(spark, D, "documents").select("doc_id", F.translate(letters, "abcdefghijklmnopqrstuvwxyz", ("ACGT" * 7)[:26]).alias("seq"))
+    docs = {r.doc_id: r.seq or "ACGT" for r in docs.collect()}
+    orders = {r[0]: r[1] for r in table(spark, D, "orders").groupBy("o_custkey").count().collect()}
+    want = {k: (docs[k % len(docs)] * (2000 * (n + 1) // len(docs[k % len(docs)]) + 1))[: 2000 * (n + 1)] for k, n in orders.items()}
+    assert {r.contig: r.seq for r in seqs.collect()} == want
